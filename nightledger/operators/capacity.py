@@ -26,14 +26,14 @@ def _active_stay_dates(nights: DataFrame, windows: DataFrame) -> DataFrame:
     """
     booked = nights.select(*ENTITY, "effectdate", F.to_date("order_ts").alias("_day")).distinct()
     days = windows.where("first_day <= last_day").withColumn("_day", F.explode(F.sequence("first_day", "last_day")))
-    return days.join(booked, [*ENTITY, "_day"]).drop("_day").distinct()
+    return days.join(booked, ["_day", *ENTITY]).drop("_day").distinct()
 
 
 def capacity_by_level(
     targets: DataFrame, nights: DataFrame, levels: Sequence[str] = LEVELS, days: int = 30, grain: str = "hour"
 ) -> DataFrame:
     """Long form: (orderid, level, max_rmqty) for targets with at least one usable stay date."""
-    dated = [*ENTITY, "effectdate"]
+    dated = ["effectdate", *ENTITY]
     earlier = by_level(
         nights.withColumns({"rooms": F.col("ordroomnum"), "counted": F.col("ordroomnum").isNotNull().cast("int")}),
         levels,
@@ -55,7 +55,7 @@ def capacity_by_level(
     instants = asked.select(*ENTITY, "own_date", "order_ts", "since_ts").distinct().withColumns(window_of)
     windows = instants.select(*ENTITY, "first_day", "last_day").distinct()
     probes = (
-        instants.join(_active_stay_dates(earlier, windows), [*ENTITY, "first_day", "last_day"])
+        instants.join(_active_stay_dates(earlier, windows), ["last_day", "first_day", *ENTITY])
         .where(F.col("effectdate") != F.col("own_date"))
         .select(*dated, "own_date", "order_ts", "since_ts")
     )
@@ -88,7 +88,7 @@ def capacity_by_level(
         .groupBy(*ENTITY, "own_date", "order_ts", "since_ts")
         .agg(F.max("rooms").alias("max_rmqty"))
     )
-    return asked.join(best, [*ENTITY, "own_date", "order_ts", "since_ts"]).select("orderid", "level", "max_rmqty")
+    return asked.join(best, ["order_ts", "since_ts", "own_date", *ENTITY]).select("orderid", "level", "max_rmqty")
 
 
 def max_capacity(targets: DataFrame, nights: DataFrame, level: str, days: int = 30) -> DataFrame:

@@ -2,20 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nightledger.functions.ratios import safe_ratio
-from nightledger.session import cut_lineage
+from nightledger.operators.ordering import running_totals
 
 
 def _cumulative(scored: DataFrame, label: str, score: str) -> DataFrame:
     """Positives and negatives at or above every distinct score, with both totals.
 
-    Scores may be as many as rows, so no window runs over all of them. Equal scores
-    are merged first, the rest is range-partitioned into slices and written out to
-    fix the slicing; slice totals, one row per shuffle partition, give each slice
-    its opening value and windows run within slices.
+    Equal scores are merged before the shuffle; scores may still be as many as rows.
     """
     per_score = (
         scored.where(F.col(score).isNotNull())
@@ -25,34 +22,8 @@ def _cumulative(scored: DataFrame, label: str, score: str) -> DataFrame:
             F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).alias("neg"),
         )
     )
-    sliced = cut_lineage(
-        per_score.repartitionByRange(F.desc("threshold")).withColumn("_slice", F.spark_partition_id())
-    )
-    before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    everywhere = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    opening = (
-        sliced.groupBy("_slice")
-        .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-        .select(
-            "_slice",
-            F.coalesce(F.sum("pos").over(before), F.lit(0)).alias("_pos_before"),
-            F.coalesce(F.sum("neg").over(before), F.lit(0)).alias("_neg_before"),
-            F.sum("pos").over(everywhere).alias("positives"),
-            F.sum("neg").over(everywhere).alias("negatives"),
-        )
-    )
-    inside = (
-        Window.partitionBy("_slice").orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
-    )
-    # At most one row per shuffle partition, whatever the data: safe to broadcast.
-    return sliced.join(F.broadcast(opening), "_slice").select(
-        "threshold",
-        "pos",
-        "neg",
-        (F.col("_pos_before") + F.sum("pos").over(inside)).alias("tp"),
-        (F.col("_neg_before") + F.sum("neg").over(inside)).alias("fp"),
-        "positives",
-        "negatives",
+    return running_totals(per_score, "threshold", ["pos", "neg"], descending=True).withColumnsRenamed(
+        {"running_pos": "tp", "running_neg": "fp", "total_pos": "positives", "total_neg": "negatives"}
     )
 
 

@@ -11,7 +11,7 @@ from nightledger.functions.ratios import LEVELS
 from nightledger.operators.timeline import daily_window_totals, window_totals
 
 LEVEL_COLUMN = {"htl": "hotel", "mbr": "masterbasicroomid", "mhtl": None}
-ENTITY = ["level", "masterhotelid", "entity"]
+ENTITY = ["masterhotelid", "entity", "level"]
 
 
 def by_level(df: DataFrame, levels: Sequence[str], *columns: str) -> DataFrame:
@@ -19,18 +19,18 @@ def by_level(df: DataFrame, levels: Sequence[str], *columns: str) -> DataFrame:
 
     An entity always lies within its master hotel. Rows without an entity are dropped.
     """
-    options = [
-        F.struct(
-            F.lit(level).alias("level"),
-            F.col(LEVEL_COLUMN[level]).cast("string").alias("entity") if LEVEL_COLUMN[level] else F.lit("").alias("entity"),
+    def entity(level: str) -> Column:
+        column = LEVEL_COLUMN[level]
+        return F.col(column).cast("string") if column else F.lit("")
+
+    if len(levels) == 1:
+        placed = df.select(F.lit(levels[0]).alias("level"), "masterhotelid", entity(levels[0]).alias("entity"), *columns)
+    else:
+        options = [F.struct(F.lit(level).alias("level"), entity(level).alias("entity")) for level in levels]
+        placed = df.select("masterhotelid", F.explode(F.array(*options)).alias("_e"), *columns).select(
+            "_e.level", "masterhotelid", "_e.entity", *columns
         )
-        for level in levels
-    ]
-    return (
-        df.select("masterhotelid", *columns, F.explode(F.array(*options)).alias("_e"))
-        .select(F.col("_e.level").alias("level"), "masterhotelid", F.col("_e.entity").alias("entity"), *columns)
-        .where("masterhotelid is not null and entity is not null")
-    )
+    return placed.where("masterhotelid is not null and entity is not null")
 
 
 def look_back_start(days: int, like: DataFrame, ts: str = "order_ts") -> Column:
@@ -72,7 +72,7 @@ def same_stay_date_counts(
 
     Long form: one row per (target order, level) with at least one earlier order.
     """
-    keys = [*ENTITY, "effectdate"]
+    keys = ["effectdate", *ENTITY]
     earlier = by_level(
         nights.withColumns(order_measures()), levels, "effectdate", "order_ts", *EFDT_MEASURES
     )
@@ -86,7 +86,7 @@ def same_stay_date_counts(
     )
     totals = window_totals(earlier, asked, keys, "order_ts", "since_ts", "order_ts", EFDT_MEASURES, grain=grain)
     return (
-        asked.join(totals.where("ordnum > 0"), [*keys, "since_ts", "order_ts"])
+        asked.join(totals.where("ordnum > 0"), ["order_ts", "since_ts", *keys])
         .select("orderid", "level", *EFDT_MEASURES)
     )
 
@@ -104,7 +104,7 @@ def any_stay_date_counts(
     )
     asked = by_level(targets, levels, "orderid", "ordd")
     totals = daily_window_totals(earlier, asked, ENTITY, "ordd", measures, days)
-    return asked.join(totals.where("ordnum > 0"), [*ENTITY, "ordd"]).select("orderid", "level", *measures)
+    return asked.join(totals.where("ordnum > 0"), ["ordd", *ENTITY]).select("orderid", "level", *measures)
 
 
 def hold_orders(targets: DataFrame, orders: DataFrame, days: int = 30) -> DataFrame:

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from nightledger.operators.ordering import running_totals
+
 MISSING = -999.0
 
 
@@ -31,19 +32,21 @@ def standardize(df: DataFrame, fitted: dict[str, tuple[float, float]]) -> DataFr
     )
 
 
-def fit_label_encoder(df: DataFrame, column: str) -> StringIndexerModel:
-    """Vocabulary of a category column in alphabetical order."""
-    indexer = StringIndexer(
-        inputCol=column, outputCol=f"{column}_code", stringOrderType="alphabetAsc", handleInvalid="keep"
+def fit_label_encoder(df: DataFrame, column: str) -> DataFrame:
+    """Vocabulary of a category column: each value with its place in sorted order."""
+    values = df.select(column).where(F.col(column).isNotNull()).distinct().withColumn("n", F.lit(1))
+    return running_totals(values, column, ["n"]).select(
+        column, (F.col("running_n") - 1).cast("int").alias(f"{column}_code")
     )
-    return indexer.fit(df)
 
 
-def label_encode(df: DataFrame, model: StringIndexerModel) -> DataFrame:
-    """Add ``<column>_code``, the position in the vocabulary; values outside it give NULL."""
-    code = model.getOutputCol()
-    known = F.col(code) < float(len(model.labels))
-    return model.transform(df).withColumn(code, F.when(known, F.col(code)).cast("int"))
+def label_encode(df: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """Add ``<column>_code``; values outside the vocabulary give NULL.
+
+    A vocabulary small enough is broadcast by Spark itself, a large one is not.
+    """
+    column = vocabulary.columns[0]
+    return df.join(vocabulary, column, "left")
 
 
 def one_hot(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -51,7 +54,7 @@ def one_hot(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     encoder = OneHotEncoder(
         inputCols=list(columns), outputCols=[f"{c}_vec" for c in columns], dropLast=False, handleInvalid="error"
     )
-    return Pipeline(stages=[encoder]).fit(df).transform(df)
+    return encoder.fit(df).transform(df)
 
 
 def dummies(df: DataFrame, column: str, categories: Sequence, prefix: str | None = None) -> DataFrame:

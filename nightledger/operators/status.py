@@ -9,14 +9,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nightledger.functions.calendar import DAY_SECONDS, second_of_day
 from nightledger.functions.codes import CLOSED, is_close_event, operator_source, touches_closed
-from nightledger.operators.timeline import nearest_row, window_totals
+from nightledger.operators.timeline import nearest_row, numbered, window_totals, with_previous
+from nightledger.session import cut_lineage
 
-PLACE = ["room", "effectdate"]
+PLACE = ["effectdate", "room"]
 TRACE = [*PLACE, "operatetime", "old_roomstatus", "new_roomstatus", "operatetime_before"]
 
 
@@ -31,8 +32,7 @@ def recent_status(log: DataFrame, days: int = 90) -> DataFrame:
 
 def status_rank(log: DataFrame, tie: Sequence[str] = ("event_id",), days: int = 90) -> DataFrame:
     """Recent changes numbered by time within a room and stay date."""
-    in_time = Window.partitionBy(*PLACE).orderBy("operatetime", *tie)
-    return recent_status(log, days).withColumn("rn", F.row_number().over(in_time))
+    return numbered(recent_status(log, days), PLACE, "operatetime", tie)
 
 
 def status_backfill(
@@ -138,7 +138,8 @@ def close_hours(orders: DataFrame, trace: DataFrame, tie: Sequence[str] = ()) ->
     Closed time runs from a closing change to the next change that is not closing;
     an open spell ends at the booking day. With +1 where a closed spell starts and
     -1 where it ends, the closed time up to T is the sum of sign * (T - instant), so
-    two running sums per order day replace the walk over its history.
+    two running sums per order day replace the walk over its history. The turns are
+    written out once, they serve every order.
     """
     instants = trace.groupBy(*PLACE, "operatetime").agg(
         F.max_by("new_roomstatus", F.struct(*tie, "new_roomstatus")).alias("new_roomstatus"),
@@ -146,19 +147,10 @@ def close_hours(orders: DataFrame, trace: DataFrame, tie: Sequence[str] = ()) ->
     )
     closed = (F.col("new_roomstatus") == CLOSED).cast("int")
     states = instants.select(*PLACE, "operatetime", "changes", closed.alias("closed"))
-    before = nearest_row(
-        states.select(*PLACE, F.col("operatetime").alias("seen_at"), F.col("closed").alias("was_closed")),
-        states.select(*PLACE, "operatetime"),
-        PLACE,
-        at="seen_at",
-        moment="operatetime",
-        payload=["was_closed"],
-        inclusive=False,
-    ).drop("seen_at")
-    turns = (
-        states.join(before, [*PLACE, "operatetime"], "left")
-        .withColumn("turn", F.col("closed") - F.coalesce("was_closed", F.lit(0)))
-        .withColumn("turn_clock", F.col("turn") * _clock(F.col("operatetime")))
+    turns = cut_lineage(
+        with_previous(states, PLACE, "operatetime", "closed")
+        .withColumn("turn", F.col("closed") - F.coalesce("previous_closed", F.lit(0)))
+        .select(*PLACE, "operatetime", "changes", "turn", (F.col("turn") * _clock(F.col("operatetime"))).alias("turn_clock"))
     )
     kind = trace.schema["operatetime"].dataType
     span = {

@@ -30,9 +30,22 @@ GRAINS = {"hour": hour_number, "day": day_number}
 LOWER, UPPER, ROW = 0, 1, 2
 
 
+def _slotted(lines: DataFrame, keys: Sequence[str], grain: str) -> DataFrame:
+    """Lines placed by (key, slot): one shuffle serves slot totals, join and inner window.
+
+    The slot leads wherever rows are sorted, since sorting compares the first column
+    cheaply and most rows differ there.
+    """
+    return (
+        lines.withColumn("_slot", GRAINS[grain](F.col("_at")))
+        .where(F.col("_slot").isNotNull())
+        .repartition("_slot", *keys)
+    )
+
+
 def _opening(lines: DataFrame, keys: Sequence[str], totals: dict[str, Column], carry: dict, forward: bool) -> DataFrame:
     """Per (key, slot) with a probe: the aggregate over all slots passed before it."""
-    per_slot = lines.groupBy(*keys, "_slot").agg(
+    per_slot = lines.groupBy("_slot", *keys).agg(
         *[expr.alias(name) for name, expr in totals.items()],
         F.max(F.col("_kind") != ROW).alias("_asked"),
     )
@@ -104,9 +117,8 @@ def window_totals(
         )
         .groupBy(*keys, "_at", "_start", "_kind", *carry)
         .agg(*[F.sum(m).alias(m) for m in measures])
-        .withColumn("_slot", GRAINS[grain](F.col("_at")))
-        .where(F.col("_slot").isNotNull())
     )
+    lines = _slotted(lines, keys, grain)
     opening = _opening(
         lines,
         keys,
@@ -116,12 +128,12 @@ def window_totals(
     )
     # Probes sort before rows of the same instant, so a row at the bound is not yet counted.
     inside = (
-        Window.partitionBy(*keys, "_slot")
+        Window.partitionBy("_slot", *keys)
         .orderBy("_at", "_kind")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     asked = (
-        lines.join(opening, [*keys, "_slot"])
+        lines.join(opening, ["_slot", *keys])
         .select(
             *keys,
             "_at",
@@ -132,7 +144,7 @@ def window_totals(
         )
         .where(F.col("_kind") != ROW)
     )
-    same_start = Window.partitionBy(*keys, "_start")
+    same_start = Window.partitionBy("_start", *keys)
     return (
         asked.select(
             *keys,
@@ -197,18 +209,17 @@ def nearest_row(
         line_rows.unionByName(line_probes)
         .groupBy(*keys, "_at", "_kind", *carry)
         .agg(pick("_found").alias("_found"))
-        .withColumn("_slot", GRAINS[grain](F.col("_at")))
-        .where(F.col("_slot").isNotNull())
     )
+    lines = _slotted(lines, keys, grain)
     opening = _opening(lines, keys, {"_found": pick("_found")}, {"_found": pick}, forward)
     walk = F.col("_at").desc() if forward else F.col("_at")
     inside = (
-        Window.partitionBy(*keys, "_slot")
+        Window.partitionBy("_slot", *keys)
         .orderBy(walk, F.when(F.col("_kind") == ROW, row_turn).otherwise(probe_turn))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     answered = (
-        lines.join(opening, [*keys, "_slot"])
+        lines.join(opening, ["_slot", *keys])
         .select(
             *keys,
             F.col("_at").alias(moment),
@@ -226,6 +237,47 @@ def nearest_row(
     )
 
 
+def with_previous(rows: DataFrame, keys: Sequence[str], at: str, column: str, grain: str = "hour") -> DataFrame:
+    """Add ``previous_<column>``, its value at the instant before; one row per key and instant."""
+    keys = list(keys)
+    lines = (
+        _complete(rows, [*keys, at])
+        .withColumn("_slot", GRAINS[grain](F.col(at)))
+        .where(F.col("_slot").isNotNull())
+        .repartition("_slot", *keys)
+    )
+    by_slot = Window.partitionBy(*keys).orderBy("_slot")
+    opening = (
+        lines.groupBy("_slot", *keys)
+        .agg(F.max_by(column, at).alias("_last"))
+        .select("_slot", *keys, F.lag("_last").over(by_slot).alias("_before"))
+    )
+    inside = Window.partitionBy("_slot", *keys).orderBy(at)
+    return lines.join(opening, ["_slot", *keys]).select(
+        *rows.columns, F.coalesce(F.lag(column).over(inside), F.col("_before")).alias(f"previous_{column}")
+    )
+
+
+def numbered(rows: DataFrame, keys: Sequence[str], at: str, tie: Sequence[str] = (), grain: str = "hour") -> DataFrame:
+    """Add ``rn``, the place of each row within its key by ``at`` and ``tie``, counted slot by slot."""
+    keys = list(keys)
+    lines = (
+        _complete(rows, [*keys, at])
+        .withColumn("_slot", GRAINS[grain](F.col(at)))
+        .where(F.col("_slot").isNotNull())
+    )
+    passed = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    opening = (
+        lines.groupBy("_slot", *keys)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .select("_slot", *keys, F.coalesce(F.sum("_n").over(passed), F.lit(0)).alias("_before"))
+    )
+    inside = Window.partitionBy("_slot", *keys).orderBy(at, *tie)
+    return lines.join(opening, ["_slot", *keys]).select(
+        *rows.columns, (F.col("_before") + F.row_number().over(inside)).alias("rn")
+    )
+
+
 def daily_window_totals(
     rows: DataFrame, probes: DataFrame, keys: Sequence[str], day: str, measures: Sequence[str], days: int
 ) -> DataFrame:
