@@ -4,36 +4,59 @@ For a target and another stay date of the same entity, the rooms ordered in the
 look-back window count up to the first refused order, or up to the target when
 none was refused. The capacity is the maximum over those stay dates; a stay date
 whose first order was refused says nothing and is left out.
+
+Most stay dates of a window are settled by the morning of the booking day: they
+were refused earlier or get no order that day. They are summed once per entity and
+day. Only stay dates booked on the day itself are summed per target.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from nightledger.functions.ratios import LEVELS
-from nightledger.operators.lookback import ENTITY, by_level, look_back_start
+from nightledger.operators.lookback import by_level, entity_keys, level_column, look_back_start
 from nightledger.operators.timeline import nearest_row, window_totals
+from nightledger.session import cut_lineage
 
 
-def _active_stay_dates(nights: DataFrame, windows: DataFrame) -> DataFrame:
-    """Stay dates with orders in each window, worked out on days rather than orders.
+def _stay_dates_in_windows(nights: DataFrame, windows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Stay dates with orders in each window, and whether its last day has any.
 
-    ``windows`` has the entity and its first and last day; matching goes through an
-    equi-join on each single day of the window, so no range join is needed.
+    Worked out on days rather than orders. Matching goes through an equi-join on each
+    single day of the window, so no range join is needed.
     """
-    booked = nights.select(*ENTITY, "effectdate", F.to_date("order_ts").alias("_day")).distinct()
+    booked = nights.select(*keys, "effectdate", F.to_date("order_ts").alias("_day")).distinct()
     days = windows.where("first_day <= last_day").withColumn("_day", F.explode(F.sequence("first_day", "last_day")))
-    return days.join(booked, ["_day", *ENTITY]).drop("_day").distinct()
+    return (
+        days.join(booked, ["_day", *keys])
+        .groupBy("effectdate", *keys, "first_day", "last_day")
+        .agg(F.max(F.col("_day") == F.col("last_day")).alias("booked_last_day"))
+    )
+
+
+def _two_best(sums: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """The greatest sum of a group with its stay date, and the greatest of the other dates."""
+    down = Window.partitionBy(*groups).orderBy(F.desc("rooms"), "effectdate")
+    top = sums.withColumn("_place", F.row_number().over(down)).where("_place <= 2")
+    first, second = F.col("_place") == 1, F.col("_place") == 2
+    return top.groupBy(*groups).agg(
+        F.max(F.when(first, F.col("rooms"))).alias("best"),
+        F.max(F.when(first, F.col("effectdate"))).alias("best_date"),
+        F.max(F.when(second, F.col("rooms"))).alias("next_best"),
+    )
 
 
 def capacity_by_level(
     targets: DataFrame, nights: DataFrame, levels: Sequence[str] = LEVELS, days: int = 30, grain: str = "hour"
 ) -> DataFrame:
     """Long form: (orderid, level, max_rmqty) for targets with at least one usable stay date."""
-    dated = ["effectdate", *ENTITY]
+    keys = entity_keys(levels)
+    dated = ["effectdate", *keys]
+    instant = nights.schema["order_ts"].dataType
     earlier = by_level(
         nights.withColumns({"rooms": F.col("ordroomnum"), "counted": F.col("ordroomnum").isNotNull().cast("int")}),
         levels,
@@ -44,51 +67,75 @@ def capacity_by_level(
         "counted",
     )
     asked = by_level(
-        targets.withColumn("since_ts", look_back_start(days, nights)).withColumnRenamed("effectdate", "own_date"),
+        targets.withColumns(
+            {
+                "own_date": F.col("effectdate"),
+                "since_ts": look_back_start(days, nights),
+                "first_day": F.date_sub("ordd", days),
+                "last_day": F.to_date("order_ts"),
+            }
+        ),
         levels,
         "orderid",
         "own_date",
         "order_ts",
         "since_ts",
+        "first_day",
+        "last_day",
+    )
+    span = ["last_day", "first_day", *keys]
+    # One row per entity, booking day and stay date: written out once, read by every use below.
+    candidates = cut_lineage(
+        nearest_row(
+            earlier.where("isnoroom = 1").select(*dated, F.col("order_ts").alias("refused_ts")),
+            _stay_dates_in_windows(earlier, asked.select(*span).distinct(), keys).withColumn(
+                "since_ts", F.col("first_day").cast(instant)
+            ),
+            dated,
+            at="refused_ts",
+            moment="since_ts",
+            carry=["first_day", "last_day", "booked_last_day"],
+            forward=True,
+            keep_unmatched=True,
+            grain=grain,
+        )
     )
-    window_of = {"first_day": F.to_date("since_ts"), "last_day": F.to_date("order_ts")}
-    instants = asked.select(*ENTITY, "own_date", "order_ts", "since_ts").distinct().withColumns(window_of)
-    windows = instants.select(*ENTITY, "first_day", "last_day").distinct()
+    morning, next_morning = F.col("last_day").cast(instant), F.date_add("last_day", 1).cast(instant)
+    undecided = F.col("booked_last_day") & (F.col("refused_ts").isNull() | (F.col("refused_ts") >= morning))
+    # Settled stay dates meet no target here and keep a missing order time.
     probes = (
-        instants.join(_active_stay_dates(earlier, windows), ["last_day", "first_day", *ENTITY])
-        .where(F.col("effectdate") != F.col("own_date"))
-        .select(*dated, "own_date", "order_ts", "since_ts")
+        candidates.withColumn("_ask", undecided)
+        .join(
+            asked.select(*span, "own_date", "order_ts").distinct().withColumn("_ask", F.lit(True)),
+            [*span, "_ask"],
+            "left",
+        )
+        .where("own_date is null or own_date != effectdate")
+        .withColumn("until_ts", F.least("refused_ts", F.coalesce("order_ts", next_morning)))
     )
-
-    refusals = earlier.where("isnoroom = 1").select(*dated, F.col("order_ts").alias("refused_ts"))
-    cut_off = nearest_row(
-        refusals,
+    sums = window_totals(
+        earlier,
         probes,
         dated,
-        at="refused_ts",
-        moment="since_ts",
-        carry=["own_date", "order_ts"],
-        forward=True,
-        keep_unmatched=True,
+        "order_ts",
+        "since_ts",
+        "until_ts",
+        ["rooms", "counted"],
+        carry=["first_day", "last_day", "own_date", "order_ts"],
         grain=grain,
-    ).withColumn("until_ts", F.least("refused_ts", "order_ts"))
-    best = (
-        window_totals(
-            earlier,
-            cut_off,
-            dated,
-            "order_ts",
-            "since_ts",
-            "until_ts",
-            ["rooms", "counted"],
-            carry=["own_date", "order_ts"],
-            grain=grain,
-        )
-        .where("counted > 0")
-        .groupBy(*ENTITY, "own_date", "order_ts", "since_ts")
-        .agg(F.max("rooms").alias("max_rmqty"))
+    ).where("counted > 0")
+    found = _two_best(sums, ["order_ts", "own_date", *span])
+    settled = found.where("order_ts is null").drop("order_ts", "own_date")
+    same_day = found.where("order_ts is not null").select(
+        "order_ts", "own_date", *span, F.col("best").alias("same_day")
+    )
+    by_settled = F.when(F.col("best_date") == F.col("own_date"), F.col("next_best")).otherwise(F.col("best"))
+    return (
+        asked.join(same_day, ["order_ts", "own_date", *span], "left")
+        .join(settled, span, "left")
+        .select("orderid", level_column(levels), F.greatest(by_settled, F.col("same_day")).alias("max_rmqty"))
+        .where("max_rmqty is not null")
     )
-    return asked.join(best, ["order_ts", "since_ts", "own_date", *ENTITY]).select("orderid", "level", "max_rmqty")
 
 
 def max_capacity(targets: DataFrame, nights: DataFrame, level: str, days: int = 30) -> DataFrame:

@@ -10,27 +10,43 @@ from pyspark.sql import functions as F
 from nightledger.functions.ratios import LEVELS
 from nightledger.operators.timeline import daily_window_totals, window_totals
 
+# The column that tells entities of a level apart within their master hotel.
 LEVEL_COLUMN = {"htl": "hotel", "mbr": "masterbasicroomid", "mhtl": None}
-ENTITY = ["masterhotelid", "entity", "level"]
+
+
+def entity_keys(levels: Sequence[str]) -> list[str]:
+    """Key columns of ``by_level``: the level's own for one level, common ones for several."""
+    if len(levels) > 1:
+        return ["masterhotelid", "entity", "level"]
+    own = LEVEL_COLUMN[levels[0]]
+    return ["masterhotelid", own] if own else ["masterhotelid"]
 
 
 def by_level(df: DataFrame, levels: Sequence[str], *columns: str) -> DataFrame:
-    """One row per level with the entity the row belongs to there.
+    """Rows keyed by the entity they belong to, once per level.
 
-    An entity always lies within its master hotel. Rows without an entity are dropped.
+    Several levels are stacked so that one pass serves them all. An entity always
+    lies within its master hotel; rows without an entity are dropped.
     """
-    def entity(level: str) -> Column:
-        column = LEVEL_COLUMN[level]
-        return F.col(column).cast("string") if column else F.lit("")
-
+    keys = entity_keys(levels)
     if len(levels) == 1:
-        placed = df.select(F.lit(levels[0]).alias("level"), "masterhotelid", entity(levels[0]).alias("entity"), *columns)
+        placed = df.select(*keys, *columns)
     else:
-        options = [F.struct(F.lit(level).alias("level"), entity(level).alias("entity")) for level in levels]
+        options = [
+            F.struct(
+                (F.col(LEVEL_COLUMN[level]).cast("string") if LEVEL_COLUMN[level] else F.lit("")).alias("entity"),
+                F.lit(level).alias("level"),
+            )
+            for level in levels
+        ]
         placed = df.select("masterhotelid", F.explode(F.array(*options)).alias("_e"), *columns).select(
-            "_e.level", "masterhotelid", "_e.entity", *columns
+            "masterhotelid", "_e.*", *columns
         )
-    return placed.where("masterhotelid is not null and entity is not null")
+    return placed.dropna(subset=keys)
+
+
+def level_column(levels: Sequence[str]) -> Column:
+    return F.lit(levels[0]).alias("level") if len(levels) == 1 else F.col("level")
 
 
 def look_back_start(days: int, like: DataFrame, ts: str = "order_ts") -> Column:
@@ -72,7 +88,7 @@ def same_stay_date_counts(
 
     Long form: one row per (target order, level) with at least one earlier order.
     """
-    keys = ["effectdate", *ENTITY]
+    keys = ["effectdate", *entity_keys(levels)]
     earlier = by_level(
         nights.withColumns(order_measures()), levels, "effectdate", "order_ts", *EFDT_MEASURES
     )
@@ -87,7 +103,7 @@ def same_stay_date_counts(
     totals = window_totals(earlier, asked, keys, "order_ts", "since_ts", "order_ts", EFDT_MEASURES, grain=grain)
     return (
         asked.join(totals.where("ordnum > 0"), ["order_ts", "since_ts", *keys])
-        .select("orderid", "level", *EFDT_MEASURES)
+        .select("orderid", level_column(levels), *EFDT_MEASURES)
     )
 
 
@@ -103,8 +119,9 @@ def any_stay_date_counts(
         orders.withColumns(order_measures()).withColumn("ordd", F.to_date("order_ts")), levels, "ordd", *measures
     )
     asked = by_level(targets, levels, "orderid", "ordd")
-    totals = daily_window_totals(earlier, asked, ENTITY, "ordd", measures, days)
-    return asked.join(totals.where("ordnum > 0"), ["ordd", *ENTITY]).select("orderid", "level", *measures)
+    keys = entity_keys(levels)
+    totals = daily_window_totals(earlier, asked, keys, "ordd", measures, days)
+    return asked.join(totals.where("ordnum > 0"), ["ordd", *keys]).select("orderid", level_column(levels), *measures)
 
 
 def hold_orders(targets: DataFrame, orders: DataFrame, days: int = 30) -> DataFrame:
