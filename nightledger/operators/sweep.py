@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from nightledger.operators.evaluate import recall_at_precision
 from nightledger.operators.model import score, train_gbt
+from nightledger.session import cut_lineage
 
 PARAMETERS = ("depth", "colsample", "subsample", "learning_rate")
 
@@ -71,8 +72,10 @@ def grid_search(
     """Fit, score and measure each combination; fits are distributed, a few run at a time.
 
     Column sampling per tree has no counterpart, so ``colsample`` sets the share of
-    features tried at each node.
+    features tried at each node. The slices are written out first, otherwise every fit
+    would work the features out again.
     """
+    train, valid, test = (cut_lineage(part.select(*columns, label)) for part in (train, valid, test))
 
     def run(combo: Mapping) -> tuple:
         settings = {

@@ -24,6 +24,7 @@ from nightledger.operators import (
     stay,
     sweep,
 )
+from nightledger.plans import matrix
 from nightledger.plans.features import feature_table
 from nightledger.sources import adapters as src
 
@@ -217,6 +218,12 @@ def ratio_features(spark: SparkSession, folder: str) -> DataFrame:
     return wide.select("orderid", *[F.round(c, 9).alias(c) for c in ratios.ratio_catalogue()])
 
 
+def training_matrix(spark: SparkSession, folder: str) -> DataFrame:
+    wide = ratios.with_ratios(_features(spark, folder), rule="zero_or_9999")
+    rows = matrix.training_matrix(wide, keep=("orderid",))
+    return rows.select(*[F.round(c, 6).alias(c) if kind == "double" else F.col(c) for c, kind in rows.dtypes])
+
+
 def hold_daily(spark: SparkSession, folder: str) -> DataFrame:
     return periods.hold_daily(_nights(spark, folder))
 
@@ -452,6 +459,7 @@ def registered() -> dict[str, Query]:
         "batch_asof": batch_asof,
         "feature_assembly": feature_assembly,
         "ratio_features": ratio_features,
+        "training_matrix": training_matrix,
         "hold_daily": hold_daily,
         "hold_ratio_by_period": hold_ratio_by_period,
         "capacity_imputation": capacity_imputation,

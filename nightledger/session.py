@@ -23,6 +23,24 @@ def local_session(app: str = "nightledger", cpus: int | str = "*", partitions: i
     )
 
 
+def cluster_settings(shuffled_bytes: int, partition_bytes: int = 192 * 1024**2) -> dict[str, str]:
+    """Session settings for a run that shuffles about this much.
+
+    Adaptive execution only merges shuffle partitions, so their number has to start
+    high enough for one to fit in memory.
+    """
+    partitions = max(200, -(-shuffled_bytes // partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024**2),
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder and read it back.
 

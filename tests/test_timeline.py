@@ -248,3 +248,36 @@ def test_all_levels_in_one_pass_agree_with_single_levels(stays):
         for r in lookback.same_stay_date_counts(targets, nights, [level]).collect()
     }
     assert together == apart
+
+
+def test_a_hot_key_is_spread_over_partitions(spark):
+    """All rows of one key: the slots, not the key, decide where rows go."""
+    from pyspark.sql import functions as F
+
+    lines = spark.range(20_000).select(
+        F.lit("hot").alias("k"),
+        (F.lit(START) + F.make_dt_interval(mins=F.col("id").cast("int"))).cast("timestamp_ntz").alias("_at"),
+    )
+    # small shuffle partitions would be merged again, which hides the spreading
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        spread = timeline._slotted(lines, ["k"], "hour").groupBy(F.spark_partition_id()).count()
+        sizes = [r["count"] for r in spread.collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(sizes) > 1 and max(sizes) < 20_000 / 3
+
+
+def test_copies_travel_as_one_row(spark):
+    """A third of the rows at one instant of one key are merged before the shuffle."""
+    from pyspark.sql import functions as F
+
+    at = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).cast("int")
+    rows = spark.range(30_000, numPartitions=4).select(
+        F.lit("hot").alias("k"), (F.lit(START) + F.make_dt_interval(secs=at)).cast("timestamp_ntz").alias("at"), F.lit(1).alias("v")
+    )
+    probes = spark.createDataFrame([("hot", START, START + timedelta(days=2))], SCHEMA_PROBES)
+    got = timeline.window_totals(rows, probes, ["k"], "at", "lo", "hi", ["v"])
+    assert got.first().v == 30_000
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "partial_sum" in plan
