@@ -7,7 +7,6 @@ new status. ``tie`` names columns that order changes made at the same instant.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +16,9 @@ from nightledger.functions.codes import CLOSED, is_close_event, operator_source,
 from nightledger.operators.timeline import nearest_row, numbered, window_totals, with_previous
 from nightledger.session import cut_lineage
 
+# Bounds for open-ended spans; text, so that no time zone touches them.
+EARLIEST, LATEST = "0001-01-01 00:00:00", "9999-12-31 00:00:00"
+
 PLACE = ["effectdate", "room"]
 TRACE = [*PLACE, "operatetime", "old_roomstatus", "new_roomstatus", "operatetime_before"]
 
@@ -76,7 +78,7 @@ def status_backfill(
     # Changes follow an instant strictly, so the count starts one tick after it.
     span = {
         "after_ts": F.col("operatetime_before") + F.expr("interval 1 microsecond"),
-        "until_ts": F.lit(datetime(9999, 12, 31)).cast(recent.schema["operatetime"].dataType),
+        "until_ts": F.lit(LATEST).cast(recent.schema["operatetime"].dataType),
     }
     filled = filled.withColumns(span)
     followers = window_totals(
@@ -154,7 +156,7 @@ def close_hours(orders: DataFrame, trace: DataFrame, tie: Sequence[str] = ()) ->
     )
     kind = trace.schema["operatetime"].dataType
     span = {
-        "from_ts": F.lit(datetime(1, 1, 1)).cast(kind),
+        "from_ts": F.lit(EARLIEST).cast(kind),
         "ordd_ts": F.col("ordd").cast(kind),
     }
     asked = orders.select("orderid", *PLACE, "ordd").withColumns(span)

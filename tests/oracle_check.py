@@ -99,7 +99,8 @@ def main() -> int:
     from nightledger.session import local_session
 
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = local_session("oracle-check")
+    spark = local_session("oracle-check", partitions=int(os.environ.get("PARTITIONS", "8")))
+    spark.conf.set("spark.sql.session.timeZone", os.environ.get("SESSION_TZ", "UTC"))
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)
     sqls = entry.oracle_sql()
