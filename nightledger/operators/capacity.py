@@ -124,7 +124,9 @@ def capacity_by_level(
         carry=["first_day", "last_day", "own_date", "order_ts"],
         grain=grain,
     ).where("counted > 0")
-    found = _two_best(sums, ["order_ts", "own_date", *span])
+    # Both kinds are picked from one written result: the filters below would otherwise be
+    # pushed down to the bookings and everything above worked out once per kind.
+    found = cut_lineage(_two_best(sums, ["order_ts", "own_date", *span]))
     settled = found.where("order_ts is null").drop("order_ts", "own_date")
     same_day = found.where("order_ts is not null").select(
         "order_ts", "own_date", *span, F.col("best").alias("same_day")
