@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nightledger.llm import byte_gru, histogram_packing, license_scan, nbsvm, quality_rules
+from nightledger.llm import byte_gru, histogram_packing, license_scan, nbsvm, quality_rules, secret_models, winnow
 from nightledger.llm.common import reachable
 
 
@@ -19,11 +19,20 @@ def op1_line_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.line_quality(_table(spark, folder, "documents"), with_text=False)
 
 
+def op3_secret_models(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return secret_models.scan(docs, secret_models.train(docs))
+
+
 def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     return byte_gru.languages(docs, byte_gru.train(docs))
 
 
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return winnow.decontaminate(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def op7_quality_nbsvm(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     return nbsvm.quality_scores(docs, nbsvm.train(docs, _table(spark, folder, "labels")))
@@ -41,7 +50,9 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Query name to a function of (session, folder of the parquet tables)."""
     return {
         "op1_line_quality": op1_line_quality,
+        "op3_secret_models": op3_secret_models,
         "op5_language_id": op5_language_id,
+        "op6_decontamination": op6_decontamination,
         "op7_quality_nbsvm": op7_quality_nbsvm,
         "op8_best_fit_packing": op8_best_fit_packing,
         "op10_license_notices": op10_license_notices,
@@ -49,4 +60,4 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_decontamination": winnow.ORACLE}
