@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nightledger.llm import byte_gru, histogram_packing, license_scan, nbsvm, quality_rules, secret_models, winnow
+from nightledger.llm import byte_gru, cover_dedup, histogram_packing, license_scan, nbsvm, quality_rules, secret_models, winnow
 from nightledger.llm.common import reachable
 
 
@@ -24,6 +24,10 @@ def op3_secret_models(spark: SparkSession, folder: str) -> DataFrame:
     return secret_models.scan(docs, secret_models.train(docs))
 
 
+def op4_passage_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return cover_dedup.without_repeats(_table(spark, folder, "documents"), with_text=False)
+
+
 def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     return byte_gru.languages(docs, byte_gru.train(docs))
@@ -51,6 +55,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_quality": op1_line_quality,
         "op3_secret_models": op3_secret_models,
+        "op4_passage_dedup": op4_passage_dedup,
         "op5_language_id": op5_language_id,
         "op6_decontamination": op6_decontamination,
         "op7_quality_nbsvm": op7_quality_nbsvm,
@@ -60,4 +65,4 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_decontamination": winnow.ORACLE}
+    return {"op4_passage_dedup": cover_dedup.ORACLE, "op6_decontamination": winnow.ORACLE}
