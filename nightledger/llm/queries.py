@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nightledger.llm import byte_gru, cover_dedup, histogram_packing, license_scan, nbsvm, quality_rules, secret_models, winnow
+from nightledger.llm import byte_gru, cover_dedup, histogram_packing, jaccard_join, license_scan, nbsvm, quality_rules, secret_models, winnow
 from nightledger.llm.common import reachable
 
 
@@ -46,6 +46,10 @@ def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return histogram_packing.pack(_table(spark, folder, "documents"))
 
 
+def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.near_duplicates(_table(spark, folder, "documents"))
+
+
 def op10_license_notices(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.license_notices(_table(spark, folder, "documents"))
 
@@ -60,9 +64,15 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_decontamination": op6_decontamination,
         "op7_quality_nbsvm": op7_quality_nbsvm,
         "op8_best_fit_packing": op8_best_fit_packing,
+        "op9_jaccard_join": op9_jaccard_join,
         "op10_license_notices": op10_license_notices,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_passage_dedup": cover_dedup.ORACLE, "op6_decontamination": winnow.ORACLE}
+    """The same results as SQL; models and searches with bounded errors have no SQL form."""
+    return {
+        "op4_passage_dedup": cover_dedup.ORACLE,
+        "op6_decontamination": winnow.ORACLE,
+        "op9_jaccard_join": jaccard_join.ORACLE,
+    }
