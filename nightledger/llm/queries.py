@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nightledger.llm import byte_gru, cover_dedup, histogram_packing, jaccard_join, license_scan, nbsvm, quality_rules, secret_models, winnow
+from nightledger.llm import byte_gru, cover_dedup, histogram_packing, jaccard_join, license_scan, nbsvm, quality_rules, secret_models, warc_index, winnow
 from nightledger.llm.common import reachable
 
 
@@ -19,6 +19,10 @@ def op1_line_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.line_quality(_table(spark, folder, "documents"), with_text=False)
 
 
+def op2_warc_index(spark: SparkSession, folder: str) -> DataFrame:
+    return warc_index.archive_round_trip(_table(spark, folder, "pages"))
+
+
 def op3_secret_models(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     return secret_models.scan(docs, secret_models.train(docs))
@@ -58,6 +62,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Query name to a function of (session, folder of the parquet tables)."""
     return {
         "op1_line_quality": op1_line_quality,
+        "op2_warc_index": op2_warc_index,
         "op3_secret_models": op3_secret_models,
         "op4_passage_dedup": op4_passage_dedup,
         "op5_language_id": op5_language_id,
@@ -72,6 +77,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     """The same results as SQL; models and searches with bounded errors have no SQL form."""
     return {
+        "op2_warc_index": warc_index.ORACLE,
         "op4_passage_dedup": cover_dedup.ORACLE,
         "op6_decontamination": winnow.ORACLE,
         "op9_jaccard_join": jaccard_join.ORACLE,
