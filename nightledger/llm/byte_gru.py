@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from nightledger.llm.common import rows_of
+from nightledger.llm.common import rows_of, written
 
 STEPS = 64
 PAD = 256
@@ -203,9 +203,11 @@ def train(docs: DataFrame, *, per_label: int = 400, stretches: int = 6, hidden:
     able = docs.select(F.col("doc_id").cast("long"), F.col("text"), F.col("lang").cast("string")).where(
         F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out()
     )
-    ids = Window.partitionBy("lang").orderBy("k", "doc_id")
-    chosen = able.select("doc_id", "lang", F.xxhash64("doc_id").alias("k")).withColumn("r", F.row_number().over(ids))
-    chosen = chosen.where(F.col("r") <= per_label).select("doc_id", "k").dropDuplicates(["doc_id"])
+    chosen = able.select("doc_id", "lang", F.xxhash64("doc_id").alias("k"), F.pmod(F.xxhash64("doc_id"), F.lit(64)).alias("part"))
+    for keys in (["lang", "part"], ["lang"]):  # first within parts, so that no task ranks a whole language
+        ranked = chosen.withColumn("r", F.row_number().over(Window.partitionBy(*keys).orderBy("k", "doc_id")))
+        chosen = ranked.where(F.col("r") <= per_label).drop("r")
+    chosen = written(chosen.select("doc_id", "k").dropDuplicates(["doc_id"]), "chosen")
     got = able.join(chosen, "doc_id").select("lang", "k", "text").mapInArrow(cut, "lang string, k long, data binary").toArrow().to_pydict()
     rows = sorted(zip(got["lang"], got["k"], got["data"], strict=True))
     labels = sorted(set(got["lang"]))
@@ -236,24 +238,38 @@ def predict(net: Network, texts: list[bytes], width: int = 2048) -> np.ndarray:
     return (sums[begin[1:]] - sums[begin[:-1]]) / np.maximum(lengths, 1)[:, None]
 
 
+def _labelled(fitted: Network | None, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+    lang, score = ["und"] * len(texts), np.zeros(len(texts))
+    able = [i for i, x in enumerate(texts) if fitted is not None and x is not None and _LETTER.search(x)]
+    if able:
+        for i, row in zip(able, predict(fitted, [texts[i].encode() for i in able]), strict=True):
+            best = int(row.argmax())
+            lang[i], score[i] = fitted.labels[best], min(max(float(row[best]), 0.0), 1.0)
+    return lang, score
+
+
 def languages(docs: DataFrame, net: Network | None) -> DataFrame:
     """Language and pooled probability of every document; the network is a few thousand numbers."""
     shared = docs.sparkSession.sparkContext.broadcast(net)
 
-    def labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fitted = shared.value
+    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows_of(batches):
-            texts = batch.column("text").to_pylist()
-            lang, score = ["und"] * len(texts), np.zeros(len(texts))
-            able = [i for i, x in enumerate(texts) if fitted is not None and x is not None and _LETTER.search(x)]
-            if able:
-                p = predict(fitted, [texts[i].encode() for i in able])
-                for i, row in zip(able, p, strict=True):
-                    best = int(row.argmax())
-                    lang[i], score[i] = fitted.labels[best], min(max(float(row[best]), 0.0), 1.0)
+            lang, score = _labelled(shared.value, batch.column("text").to_pylist())
             columns = [batch.column("doc_id"), batch.column("held_out"), pa.array(lang, pa.string()), pa.array(score)]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "lang_pred", "score"])
 
     return docs.select(F.col("doc_id").cast("long"), held_out().alias("held_out"), "text").mapInArrow(
-        labelled, "doc_id long, held_out boolean, lang_pred string, score double"
+        label, "doc_id long, held_out boolean, lang_pred string, score double"
     )
+
+
+def recognised(docs: DataFrame, net: Network | None, least: float) -> DataFrame:
+    """The rows of ``docs``, all columns, whose language the network tells with a score of ``least`` or more."""
+    shared = docs.sparkSession.sparkContext.broadcast(net)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows_of(batches):
+            lang, score = _labelled(shared.value, batch.column("text").to_pylist())
+            yield batch.filter(pa.array([x != "und" and s >= least for x, s in zip(lang, score.tolist(), strict=True)], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)

@@ -61,15 +61,18 @@ def written(df: DataFrame, name: str = "part") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def keyed(docs: DataFrame, *columns: str) -> DataFrame:
+def keys_of(docs: DataFrame) -> list[Column]:
     """``k_id`` and ``k_text`` name a document: its id (null counts as the smallest) and a hash of its text.
 
     Rows that agree in both are one document written several times.
     """
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))
-    return docs.select(
-        "doc_id", key.alias("k_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("k_text"), "text", *columns
-    )
+    key = F.coalesce(docs["doc_id"].cast("long"), F.lit(NULL_ID))
+    return [key.alias("k_id"), F.xxhash64(F.coalesce(docs["text"], F.lit(""))).alias("k_text")]
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """Id, text and keys of the documents."""
+    return docs.select("doc_id", *keys_of(docs), "text")
 
 
 def text_bytes(docs: DataFrame) -> int:

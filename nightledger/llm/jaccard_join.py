@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from nightledger.llm.common import (
@@ -33,6 +33,7 @@ from nightledger.llm.common import (
     buckets,
     hashed_words,
     keyed,
+    keys_of,
     mixed,
     packed,
     rows_of,
@@ -312,8 +313,8 @@ def still_apart(met: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 75) -> DataFrame:
-    """Per document: the size of its set and the smallest id that links lead to, its own included."""
+def groups(docs: DataFrame, *, size: int = 5, percent: int = 75) -> DataFrame:
+    """Per document its key, the size of its set ``n``, and the key of the ``first`` document that links lead to."""
     base = keyed(docs)
     count = buckets(text_bytes(docs))
     profiled = profile(base, size)
@@ -333,17 +334,37 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 75) -> Dat
     links = links.unionByName(written(verified(more, texts, size, percent), "links"))
     labels = components(links)
 
-    smallest = rows.where("node is not null").groupBy("node").agg(F.min("k_id").alias("least")).join(labels, "node", "left")
-    smallest = smallest.withColumn("label", F.coalesce("label", "node"))
-    smallest = written(smallest, "smallest")
-    per_label = written(smallest.groupBy("label").agg(F.min("least").alias("component")), "component")
-    of_node = written(smallest.join(per_label, "label").select("node", "component"), "of_node")
-    component = F.coalesce("component", "k_id")
+    own = F.struct("k_id", "k_text")
+    smallest = rows.where("node is not null").groupBy("node").agg(F.min(own).alias("least")).join(labels, "node", "left")
+    smallest = written(smallest.withColumn("label", F.coalesce("label", "node")), "smallest")
+    per_label = written(smallest.groupBy("label").agg(F.min("least").alias("first")), "first")
+    of_node = written(smallest.join(per_label, "label").select("node", "first"), "of_node")
     return rows.join(of_node, "node", "left").select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.when(component != NULL_ID, component).alias("component_id"),
+        "doc_id", "k_id", "k_text", "n", F.coalesce("first", own).alias("first")
+    )
+
+
+def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 75) -> DataFrame:
+    """Per document: the size of its set and the smallest id that links lead to, its own included."""
+    component = F.col("first.k_id")
+    return groups(docs, size=size, percent=percent).select(
+        "doc_id", F.col("n").alias("n_shingles"), F.when(component != NULL_ID, component).alias("component_id")
+    )
+
+
+def first_of_groups(docs: DataFrame, *, size: int = 5, percent: int = 75) -> DataFrame:
+    """The rows of ``docs``, all columns, that come first in their group: smallest id, then hash of the text.
+
+    Of rows that repeat id and text one stays.
+    """
+    stay = groups(docs, size=size, percent=percent).where(
+        (F.col("first.k_id") == F.col("k_id")) & (F.col("first.k_text") == F.col("k_text"))
     )
+    stay = written(stay.select("k_id", "k_text").distinct(), "stay")
+    rows = docs.select(F.struct("*").alias("row"), *keys_of(docs))
+    order = Window.partitionBy("k_id", "k_text").orderBy(F.xxhash64("row"))
+    kept = rows.join(stay, ["k_id", "k_text"], "left_semi").withColumn("copy", F.row_number().over(order))
+    return kept.where("copy = 1").select("row.*")
 
 
 ORACLE = r"""

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from nightledger.llm.common import keyed, written
+from nightledger.llm.common import keyed, keys_of, written
 
 WINDOW = 10
 GRAM = 5
@@ -71,8 +71,8 @@ def fingerprints(df: DataFrame, keys: list[str], short: list[int]) -> DataFrame:
     )
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Per document: words, words inside an occurrence of a benchmark window, and the items that occur."""
+def occurrences(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Places of benchmark windows in documents (key, start, n, window), and the windows of every item."""
     base = keyed(docs)
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), words(F.col("text")).alias("ws"))
     items = written(items.where(F.size("ws") > 0), "items")
@@ -123,6 +123,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         inside.join(windows.select("window", "n").distinct(), ["window", "n"]).select(*key, "start", "n", "window").distinct(),
         "found",
     )
+    return found, windows
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Per document: words, words inside an occurrence of a benchmark window, and the items that occur."""
+    found, windows = occurrences(docs, benchmark)
+    base, key = keyed(docs), ["k_id", "k_text"]
     earlier = Window.partitionBy(*key).orderBy("start", "n").rowsBetween(Window.unboundedPreceding, -1)
     end = F.col("start") + F.col("n")
     covered = (
@@ -154,6 +161,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
 
 
+def uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, without any benchmark window."""
+    found, _ = occurrences(docs, benchmark)
+    hit = written(found.select("k_id", "k_text").distinct(), "hit")
+    rows = docs.select(F.struct("*").alias("row"), *keys_of(docs))
+    return rows.join(hit, ["k_id", "k_text"], "left_anti").select("row.*")
+
+
 ORACLE = r"""
 with d as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
