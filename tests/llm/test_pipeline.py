@@ -1,7 +1,6 @@
 import re
 
 import corpus_pipeline
-
 from nightledger.llm.common import written
 from tests.llm import test_jaccard_join, test_secret_models, test_winnow
 from tests.llm.fixtures import PROSE, documents, odd_rows
