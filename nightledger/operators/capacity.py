@@ -102,15 +102,14 @@ def capacity_by_level(
     )
     morning, next_morning = F.col("last_day").cast(instant), F.date_add("last_day", 1).cast(instant)
     undecided = F.col("booked_last_day") & (F.col("refused_ts").isNull() | (F.col("refused_ts") >= morning))
-    # Settled stay dates meet no target here and keep a missing order time.
+    # Settled stay dates need no target. The others meet the targets of their span in an inner join, of
+    # which adaptive execution can split either side; every span has a target.
+    settled_dates = candidates.where(~undecided).withColumns(
+        {"own_date": F.lit(None).cast("date"), "order_ts": F.lit(None).cast(instant)}
+    )
+    asking = asked.select(*span, "own_date", "order_ts").distinct()
     probes = (
-        candidates.withColumn("_ask", undecided)
-        .join(
-            asked.select(*span, "own_date", "order_ts").distinct().withColumn("_ask", F.lit(True)),
-            [*span, "_ask"],
-            "left",
-        )
-        .where("own_date is null or own_date != effectdate")
+        settled_dates.unionByName(candidates.where(undecided).join(asking, span).where("own_date != effectdate"))
         .withColumn("until_ts", F.least("refused_ts", F.coalesce("order_ts", next_morning)))
     )
     sums = window_totals(

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from nightledger.functions.calendar import within
 from nightledger.functions.codes import flag, master_or_own, shadow_type
+from nightledger.session import stored
 from nightledger.sources.tables import snapshot
 
 
@@ -102,5 +103,10 @@ def mode_per_key(df: DataFrame, key: str, value: str) -> DataFrame:
 
 
 def correct_to_mode(df: DataFrame, key: str, value: str) -> DataFrame:
-    """Replace ``value`` by the mode of its key; rows without a key drop out."""
-    return df.drop(value).join(mode_per_key(df, key, value), key).select(*df.columns)
+    """Replace ``value`` by the mode of its key; rows without a key drop out.
+
+    The modes are written out first: adaptive execution splits a frequent key only where both
+    sides of the join come from exchanges of its own, and an aggregate on that key has none.
+    """
+    modes = stored(mode_per_key(df, key, value))
+    return df.drop(value).join(modes, key).select(*df.columns)

@@ -6,30 +6,38 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nightledger.operators.prep import assemble_vector
 
-DEFAULTS = {"maxDepth": 5, "stepSize": 0.1, "maxIter": 100, "subsamplingRate": 0.8, "minInstancesPerNode": 10, "seed": 7}
+#: Up to 1,000 rounds; with a held-out slice boosting stops at the first round that does not improve it. Spark
+#: has no longer patience than that.
+DEFAULTS = {
+    "maxDepth": 5,
+    "stepSize": 0.1,
+    "maxIter": 1000,
+    "subsamplingRate": 0.8,
+    "minInstancesPerNode": 10,
+    "validationTol": 0.0,
+    "seed": 7,
+}
 
 
 def train_gbt(
-    train: DataFrame,
-    valid: DataFrame | None,
+    rows: DataFrame,
     columns: Sequence[str],
     label: str = "isbookable",
     params: Mapping | None = None,
+    held_out: Column | None = None,
 ) -> GBTClassificationModel:
-    """Fit on ``train``; with ``valid`` boosting stops when that slice no longer improves.
+    """Fit on ``rows``; with ``held_out`` the rows where it holds only tell when to stop.
 
-    Both slices and later scoring go through the same filling of missing values.
+    Fitting and later scoring go through the same filling of missing values.
     """
     settings = {**DEFAULTS, **(params or {})}
-    wanted = [*columns, label]
-    rows = train.select(*wanted, F.lit(False).alias("_held_out"))
-    if valid is not None:
-        rows = rows.unionByName(valid.select(*wanted, F.lit(True).alias("_held_out")))
+    rows = rows.select(*columns, label, (F.lit(False) if held_out is None else held_out).alias("_held_out"))
+    if held_out is not None:
         settings["validationIndicatorCol"] = "_held_out"
     booster = GBTClassifier(featuresCol="features", labelCol=label, **settings)
     ready = assemble_vector(rows, columns).select("features", F.col(label).cast("double").alias(label), "_held_out")

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from datetime import date
 
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nightledger.operators.ordering import running_totals
@@ -57,17 +57,51 @@ def one_hot(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return encoder.fit(df).transform(df)
 
 
+def fit_categories(df: DataFrame, columns: Sequence[str], most: int = 1000) -> dict[str, list]:
+    """Sorted values of category columns; raises where a column has more than ``most``."""
+    found = {}
+    for column in columns:
+        values = [r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().limit(most + 1).collect()]
+        if len(values) > most:
+            raise ValueError(f"{column} has more than {most} values; it is no category")
+        # text is ordered by its bytes, as Spark orders it
+        found[column] = sorted(values, key=lambda v: v.encode() if isinstance(v, str) else v)
+    return found
+
+
 def dummies(df: DataFrame, column: str, categories: Sequence, prefix: str | None = None) -> DataFrame:
-    """Add one 0/1 column per listed category; a missing value gives zeros everywhere."""
+    """Add one 0/1 column per listed category; a missing or unlisted value gives zeros everywhere.
+
+    Columns are named by the value, and by its place in the list where the values are text beyond ASCII.
+    """
     head = prefix or column
+    plain = all(str(v).isascii() for v in categories)
     return df.withColumns(
         {
-            f"{head}_{value}": F.coalesce((F.col(column) == F.lit(value)).cast("int"), F.lit(0))
-            for value in categories
+            f"{head}_{value if plain else place}": F.coalesce((F.col(column) == F.lit(value)).cast("int"), F.lit(0))
+            for place, value in enumerate(categories)
         }
     )
 
 
+def slice_name(
+    bounds: dict[str, tuple[date, date]], column: str = "ordd", closed: Sequence[str] = ()
+) -> Column:
+    """Name of the slice a date lies in, or NULL: half-open, or with both days for the names in ``closed``."""
+    chain = F.lit(None).cast("string")
+    for name, (low, high) in reversed(bounds.items()):
+        end = F.col(column) <= F.lit(high) if name in closed else F.col(column) < F.lit(high)
+        chain = F.when((F.col(column) >= F.lit(low)) & end, F.lit(name)).otherwise(chain)
+    return chain
+
+
+def with_slice(
+    df: DataFrame, bounds: dict[str, tuple[date, date]], column: str = "ordd", closed: Sequence[str] = ()
+) -> DataFrame:
+    """Rows inside of any slice with the name of theirs in ``slice``, in one pass. Of slices that overlap the first counts."""
+    return df.withColumn("slice", slice_name(bounds, column, closed)).where("slice is not null")
+
+
 def temporal_split(
     df: DataFrame, bounds: dict[str, tuple[date, date]], column: str = "ordd", closed: Sequence[str] = ()
 ) -> dict[str, DataFrame]:
@@ -82,7 +116,10 @@ def temporal_split(
 
 
 def drop_columns(df: DataFrame, *columns: str) -> DataFrame:
-    """Leave out id and label columns before assembling."""
+    """Leave out id and label columns before assembling; raises where one is missing."""
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise ValueError(f"no such columns: {', '.join(missing)}")
     return df.drop(*columns)
 
 

@@ -1,12 +1,14 @@
 """Room-status log: back-fill, close counts, closed hours and the latest close event.
 
 The log has one row per change: room, effectdate (stay date), operatetime, old and
-new status. ``tie`` names columns that order changes made at the same instant.
+new status. ``tie`` names columns that order changes made at the same instant; what they
+leave open is settled by the remaining columns.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,8 +25,18 @@ PLACE = ["effectdate", "room"]
 TRACE = [*PLACE, "operatetime", "old_roomstatus", "new_roomstatus", "operatetime_before"]
 
 
-def recent_status(log: DataFrame, days: int = 90) -> DataFrame:
-    """Changes with a known new status made in the ``days`` days before the stay date."""
+def recent_status(log: DataFrame, days: int = 90, since: date | None = None, until: date | None = None) -> DataFrame:
+    """Changes with a known new status made in the ``days`` days before the stay date.
+
+    ``since`` and ``until`` bound the stay dates, both included; with them the scan of a
+    log that is partitioned by day of change is bounded too.
+    """
+    if since is not None:
+        log = log.where(F.col("effectdate") >= F.lit(since))
+        log = _on_days(log, since - timedelta(days=days), None)
+    if until is not None:
+        log = log.where(F.col("effectdate") <= F.lit(until))
+        log = _on_days(log, None, until)
     return log.where(
         F.col("new_roomstatus").isNotNull()
         & (F.col("operatetime") >= F.date_sub("effectdate", days))
@@ -32,13 +44,34 @@ def recent_status(log: DataFrame, days: int = 90) -> DataFrame:
     )
 
 
-def status_rank(log: DataFrame, tie: Sequence[str] = ("event_id",), days: int = 90) -> DataFrame:
+def _on_days(log: DataFrame, low: date | None, high: date | None) -> DataFrame:
+    """Changes on the days ``low`` to ``high``, said on the partition column where there is one."""
+    if low is not None:
+        log = log.where(F.col("operatetime") >= F.lit(low))
+        log = log.where(F.col("d") >= F.lit(low)) if "d" in log.columns else log
+    if high is not None:
+        log = log.where(F.col("operatetime") < F.lit(high + timedelta(days=1)))
+        log = log.where(F.col("d") <= F.lit(high)) if "d" in log.columns else log
+    return log
+
+
+def status_rank(
+    log: DataFrame, tie: Sequence[str] = (), days: int = 90, since: date | None = None, until: date | None = None
+) -> DataFrame:
     """Recent changes numbered by time within a room and stay date."""
-    return numbered(recent_status(log, days), PLACE, "operatetime", tie)
+    recent = recent_status(log, days, since, until)
+    rest = [c for c in recent.columns if c not in (*PLACE, "operatetime", *tie)]
+    return numbered(recent, PLACE, "operatetime", [*tie, *rest])
 
 
 def status_backfill(
-    log: DataFrame, days: int = 90, tie: Sequence[str] = ("event_id",), as_written: bool = False
+    log: DataFrame,
+    days: int = 90,
+    tie: Sequence[str] = (),
+    as_written: bool = False,
+    known_days: int | None = None,
+    since: date | None = None,
+    until: date | None = None,
 ) -> DataFrame:
     """Recent changes whose missing old status is taken from the last earlier change.
 
@@ -47,9 +80,11 @@ def status_backfill(
 
     ``as_written`` reproduces a join back on the rank of the earlier change: equal
     rows merge, and each comes ``copies`` times, once per row without old status
-    that follows the same earlier change. The copies are counted, not emitted.
+    that follows the same earlier change. ``repeated`` turns the copies into rows.
+
+    Changes that know their old status may have another look-back, ``known_days``.
     """
-    recent = recent_status(log, days)
+    recent = recent_status(log, days, since, until)
     blank = recent.where(F.col("old_roomstatus").isNull())
     if as_written:
         blank_rows = blank.select(*PLACE, "operatetime", "new_roomstatus").distinct()
@@ -69,7 +104,8 @@ def status_backfill(
         inclusive=False,
     )
     filled = blank_rows.join(before, [*PLACE, "operatetime"]).withColumn("old_roomstatus", F.col("status_before"))
-    known = recent.where(F.col("old_roomstatus").isNotNull()).withColumn(
+    wide = recent if known_days is None else recent_status(log, known_days, since, until)
+    known = wide.where(F.col("old_roomstatus").isNotNull()).withColumn(
         "operatetime_before", F.lit(None).cast(recent.schema["operatetime"].dataType)
     )
     if not as_written:
@@ -96,6 +132,12 @@ def status_backfill(
     )
 
 
+def repeated(trace: DataFrame) -> DataFrame:
+    """Each row of a trace as many times as its ``copies`` say."""
+    times = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
+    return trace.where("copies > 0").select(*TRACE, times.alias("copy"))
+
+
 def close_transitions(trace: DataFrame) -> DataFrame:
     """Changes from or to the closed state."""
     return trace.where(touches_closed(F.col("old_roomstatus"), F.col("new_roomstatus")))
@@ -107,7 +149,7 @@ def close_counts(trace: DataFrame) -> DataFrame:
     return trace.where(F.col("new_roomstatus") == CLOSED).groupBy(*PLACE).agg(weight.alias("closetimes"))
 
 
-def latest_close_event(targets: DataFrame, log: DataFrame, tie: Sequence[str] = ("event_id",)) -> DataFrame:
+def latest_close_event(targets: DataFrame, log: DataFrame, tie: Sequence[str] = ()) -> DataFrame:
     """The last close event of the target's room and stay date up to the order, with its source."""
     events = log.where(is_close_event(F.col("old_roomstatus"), F.col("new_roomstatus")))
     payload = ["eid", "old_roomstatus", "new_roomstatus"]
@@ -120,11 +162,14 @@ def latest_close_event(targets: DataFrame, log: DataFrame, tie: Sequence[str] =
 
 
 def order_status_history(orders: DataFrame, trace: DataFrame) -> DataFrame:
-    """Changes made before the booking day, per room, stay date and booking day.
+    """Changes before the booking day for the order's room and stay date: a row per order and change."""
+    placed = orders.select("orderid", *PLACE, "ordd")
+    changes = trace.select(*PLACE, "operatetime", "old_roomstatus", "new_roomstatus")
+    return placed.join(changes, PLACE).where(F.col("operatetime") < F.col("ordd"))
 
-    Orders of one room, stay date and booking day see the same history, so it is
-    listed once with their number in ``orders`` instead of once per order.
-    """
+
+def shared_status_history(orders: DataFrame, trace: DataFrame) -> DataFrame:
+    """The history once per room, stay date and booking day, with the number of ``orders`` that share it."""
     groups = orders.groupBy(*PLACE, "ordd").agg(F.count(F.lit(1)).alias("orders"))
     changes = trace.select(*PLACE, "operatetime", "old_roomstatus", "new_roomstatus")
     return groups.join(changes, PLACE).where(F.col("operatetime") < F.col("ordd"))

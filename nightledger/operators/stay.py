@@ -42,10 +42,18 @@ def with_rest_time(orders: DataFrame) -> DataFrame:
 def base_features(targets: DataFrame, hotels: DataFrame, rooms: DataFrame) -> DataFrame:
     """Targets with calendar features and hotel and room attributes."""
     hotel_side = hotels.select(
-        "hotel", "city", "zone", "star", "cprflag", "goldstar", F.col("roomquantity").alias("mhtl_roomquantity")
+        "hotel",
+        "city",
+        "zone",
+        "star",
+        "cprflag",
+        "goldstar",
+        "hotelbelongto",
+        F.col("roomquantity").alias("mhtl_roomquantity"),
     )
     return (
-        targets.withColumns(
+        targets.drop("hotelbelongto")
+        .withColumns(
             {
                 "dayofweek": weekday_number(F.col("effectdate")),
                 "ordadvanceday2": lead_days(F.col("effectdate"), F.col("order_ts")),

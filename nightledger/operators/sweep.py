@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from nightledger.operators.evaluate import recall_at_precision
 from nightledger.operators.model import score, train_gbt
 from nightledger.session import cut_lineage
+from nightledger.sources.files import GRID_LOG, append_grid_log, read_grid_log
 
 PARAMETERS = ("depth", "colsample", "subsample", "learning_rate")
 
@@ -59,23 +60,30 @@ def remaining(grid: DataFrame, log: DataFrame) -> DataFrame:
 
 
 def grid_search(
-    train: DataFrame,
-    valid: DataFrame,
-    test: DataFrame,
+    rows: DataFrame,
     columns: Sequence[str],
-    grid: Sequence[Mapping],
+    grid: DataFrame,
     label: str = "isbookable",
     floor: float = 0.85,
     parallelism: int = 2,
     params: Mapping | None = None,
+    log: str | None = None,
 ) -> DataFrame:
     """Fit, score and measure each combination; fits are distributed, a few run at a time.
 
+    ``rows`` have their ``slice``: fits use train, stop by validation and are measured on test. With ``log``, a
+    path, runs that it holds are left out and each run is appended as it finishes, so a sweep that broke off goes on.
+
     Column sampling per tree has no counterpart, so ``colsample`` sets the share of
-    features tried at each node. The slices are written out first, otherwise every fit
+    features tried at each node. The rows are written out first, otherwise every fit
     would work the features out again.
     """
-    train, valid, test = (cut_lineage(part.select(*columns, label)) for part in (train, valid, test))
+    spark = rows.sparkSession
+    rows = cut_lineage(rows.select(*columns, label, "slice"))
+    fitting = rows.where("slice in ('train', 'validation')")
+    if log is not None and logged(spark, log):
+        grid = remaining(grid, read_grid_log(spark, log))
+    combos = [r.asDict() for r in grid.orderBy(*PARAMETERS).collect()]
 
     def run(combo: Mapping) -> tuple:
         settings = {
@@ -85,16 +93,23 @@ def grid_search(
             "subsamplingRate": float(combo["subsample"]),
             "featureSubsetStrategy": str(float(combo["colsample"])),
         }
-        model = train_gbt(train, valid, columns, label, settings)
-        scored = score(model, test, columns, keep=[label])
+        model = train_gbt(fitting, columns, label, settings, held_out=F.col("slice") == "validation")
+        scored = score(model, rows.where("slice = 'test'"), columns, keep=[label])
         found = recall_at_precision(scored, floor, label=label).first()["recall"]
-        return (*[combo[p] for p in PARAMETERS], float(found))
+        row = (*[combo[p] for p in PARAMETERS], float(found))
+        if log is not None:
+            append_grid_log(spark.createDataFrame([row], GRID_LOG), log)
+        return row
 
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        rows = list(pool.map(run, grid))
-    return train.sparkSession.createDataFrame(
-        rows, "depth int, colsample double, subsample double, learning_rate double, recall double"
-    )
+        made = list(pool.map(run, combos))
+    return spark.createDataFrame(made, GRID_LOG) if log is None else read_grid_log(spark, log)
+
+
+def logged(spark: SparkSession, path: str) -> bool:
+    """Whether a log exists, by the file system that the path names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
 def best_by(log: DataFrame, parameter: str) -> DataFrame:
@@ -113,12 +128,17 @@ def parameter_values(log: DataFrame, parameter: str, descending: bool = False) -
 
 
 def recall_surface(
-    log: DataFrame, depth: int, learning_rate: float, colsamples: Sequence[float] = _TENTHS
+    log: DataFrame, depth: int, learning_rate: float, colsamples: Sequence[float] | None = None
 ) -> DataFrame:
-    """Recall of one (depth, learning rate) slice: a row per subsample, a column per colsample."""
+    """Recall of one (depth, learning rate) slice: a row per subsample, a column per colsample.
+
+    The columns are those of the values in the log, unless ``colsamples`` states them.
+    """
     slice_ = log.where(
         (F.col("depth") == depth) & (F.round(F.col("learning_rate"), 4) == round(learning_rate, 4))
     )
+    if colsamples is None:
+        colsamples = sorted(r[0] for r in log.select(F.round("colsample", 4)).distinct().collect() if r[0] is not None)
     named = {round(v, 4): f"colsample_{v:g}".replace(".", "_") for v in colsamples}
     cells = [
         F.max(F.when(F.round("colsample", 4) == F.lit(value), F.col("recall"))).alias(name)

@@ -26,6 +26,7 @@ from nightledger.operators import (
 )
 from nightledger.plans import matrix
 from nightledger.plans.features import feature_table
+from nightledger.session import cut_lineage
 from nightledger.sources import adapters as src
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +46,8 @@ SPLIT = {
     "validation": (date(1999, 1, 1), date(2000, 1, 1)),
     "test": (date(2000, 1, 1), date(2000, 12, 31)),
 }
+# Changes of one instant are ordered by their id.
+TIE = ("event_id",)
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 
 
@@ -133,17 +136,25 @@ def _capacity(level: str) -> Query:
 
 
 def status_rank(spark: SparkSession, folder: str) -> DataFrame:
-    return status.status_rank(src.status_log(spark, folder)).select(
+    return status.status_rank(src.status_log(spark, folder), TIE).select(
         "event_id", "room", "effectdate", "operatetime", "rn"
     )
 
 
 def status_backfill(spark: SparkSession, folder: str) -> DataFrame:
-    return status.status_backfill(src.status_log(spark, folder))
+    return status.status_backfill(src.status_log(spark, folder), tie=TIE)
+
+
+def status_backfill_windows(spark: SparkSession, folder: str) -> DataFrame:
+    return status.status_backfill(src.status_log(spark, folder), days=2, tie=TIE, known_days=1)
 
 
 def status_backfill_as_written(spark: SparkSession, folder: str) -> DataFrame:
-    return status.status_backfill(src.status_log(spark, folder), as_written=True)
+    return status.repeated(_as_written(spark, folder))
+
+
+def _as_written(spark: SparkSession, folder: str) -> DataFrame:
+    return status.status_backfill(src.status_log(spark, folder), tie=TIE, as_written=True)
 
 
 def close_transitions(spark: SparkSession, folder: str) -> DataFrame:
@@ -155,20 +166,24 @@ def close_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def close_counts_as_written(spark: SparkSession, folder: str) -> DataFrame:
-    return status.close_counts(status.close_transitions(status_backfill_as_written(spark, folder)))
+    return status.close_counts(status.close_transitions(_as_written(spark, folder)))
 
 
 def order_status_history(spark: SparkSession, folder: str) -> DataFrame:
     return status.order_status_history(src.order_probes(spark, folder), close_transitions(spark, folder))
 
 
+def shared_status_history(spark: SparkSession, folder: str) -> DataFrame:
+    return status.shared_status_history(src.order_probes(spark, folder), close_transitions(spark, folder))
+
+
 def close_hours(spark: SparkSession, folder: str) -> DataFrame:
     hours = status.close_hours(src.order_probes(spark, folder), close_transitions(spark, folder))
     return hours.withColumn("closehours", F.round("closehours", 6))
 
 
 def latest_close_event(spark: SparkSession, folder: str) -> DataFrame:
-    found = status.latest_close_event(src.order_probes(spark, folder), src.status_log(spark, folder))
+    found = status.latest_close_event(src.order_probes(spark, folder), src.status_log(spark, folder), TIE)
     return found.select(
         "orderid", "room", "effectdate", "operatetime", "old_roomstatus", "new_roomstatus", "eid_source"
     )
@@ -180,17 +195,34 @@ def batch_asof(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _features(spark: SparkSession, folder: str) -> DataFrame:
+def batch_asof_any_hour(spark: SparkSession, folder: str) -> DataFrame:
+    return batches.batch_asof(
+        src.order_probes(spark, folder), src.hourly_index(spark, folder), ["city", "zone"], ["cityi"]
+    )
+
+
+def _features(spark: SparkSession, folder: str, orders: DataFrame | None = None, **options) -> DataFrame:
     return feature_table(
-        src.bookings(spark, folder),
+        src.bookings(spark, folder) if orders is None else orders,
         src.hotel_dim(spark, folder),
         src.room_dim(spark, folder),
         src.stay_status_log(spark, folder),
         src.stay_batch_index(spark, folder),
         SINCE,
+        status_tie=TIE,
+        **options,
     )
 
 
+def booking_pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    """Snapshot, enrichment, usual payment type, nights and the whole feature row in one run."""
+    orders = enrich.correct_to_mode(orders_enriched(spark, folder), "room", "balancetype")
+    wide = _features(spark, folder, orders, check=True, close_features=True)
+    hours = {c: F.round(c, 6).alias(c) for c in ("rest_time", "closehours", "close_hour_per")}
+    more = ["balancetype", "isnoroom", "ord_hour", "closetimes", "closehours", "close_hour_per"]
+    return wide.select(*[hours.get(c, F.col(c)) for c in (*FEATURE_COLUMNS, *more)])
+
+
 FEATURE_COLUMNS = (
     "orderid",
     "effectdate",
@@ -218,10 +250,17 @@ def ratio_features(spark: SparkSession, folder: str) -> DataFrame:
     return wide.select("orderid", *[F.round(c, 9).alias(c) for c in ratios.ratio_catalogue()])
 
 
-def training_matrix(spark: SparkSession, folder: str) -> DataFrame:
-    wide = ratios.with_ratios(_features(spark, folder), rule="zero_or_9999")
-    rows = matrix.training_matrix(wide, keep=("orderid",))
-    return rows.select(*[F.round(c, 6).alias(c) if kind == "double" else F.col(c) for c, kind in rows.dtypes])
+def _matrix(columns: matrix.Columns) -> Query:
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        wide = ratios.with_ratios(_features(spark, folder, close_features=True), rule="zero_or_9999")
+        wide = matrix.with_derived(wide, HOLIDAYS)
+        low, high = SPLIT["train"]
+        slice_ = (F.col("ordd") >= F.lit(low)) & (F.col("ordd") < F.lit(high))
+        codes_kept = {"defrecommend": range(10)} if "defrecommend" in columns.coded else None
+        rows = matrix.training_matrix(wide, columns, slice_, keep=("orderid",), categories=codes_kept)
+        return rows.select(*[F.round(c, 6).alias(c) if kind == "double" else F.col(c) for c, kind in rows.dtypes])
+
+    return query
 
 
 def hold_daily(spark: SparkSession, folder: str) -> DataFrame:
@@ -317,9 +356,7 @@ def dummies(spark: SparkSession, folder: str) -> DataFrame:
 
 def temporal_split(spark: SparkSession, folder: str) -> DataFrame:
     rows = src.bookings(spark, folder).select("orderid", "ordd", (1 - F.col("isnoroom")).alias("isbookable"))
-    parts = prep.temporal_split(rows, SPLIT, closed=("test",))
-    train, validation, test = (part.withColumn("slice", F.lit(name)) for name, part in parts.items())
-    return train.unionByName(validation).unionByName(test)
+    return prep.with_slice(rows, SPLIT, closed=("test",))
 
 
 def _rounded(df: DataFrame) -> DataFrame:
@@ -364,22 +401,50 @@ def _model_rows(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _sliced(rows: DataFrame) -> DataFrame:
+    return prep.with_slice(rows, SPLIT, closed=("test",))
+
+
 def gbt_score(spark: SparkSession, folder: str) -> DataFrame:
-    parts = prep.temporal_split(_model_rows(spark, folder), SPLIT, closed=("test",))
-    fitted = model.train_gbt(
-        parts["train"], parts["validation"], MODEL_COLUMNS, params={"maxIter": 8, "maxDepth": 3}
-    )
-    return model.score(fitted, parts["test"], MODEL_COLUMNS, keep=["orderid", "isbookable"])
+    rows = cut_lineage(_sliced(_model_rows(spark, folder)))
+    known = rows.where("slice in ('train', 'validation')")
+    fitted = model.train_gbt(known, MODEL_COLUMNS, held_out=F.col("slice") == "validation")
+    return model.score(fitted, rows.where("slice = 'test'"), MODEL_COLUMNS, keep=["orderid", "isbookable"])
 
 
 def grid_search(spark: SparkSession, folder: str) -> DataFrame:
-    parts = prep.temporal_split(_model_rows(spark, folder), SPLIT, closed=("test",))
-    combos = [
-        {"depth": depth, "colsample": 0.8, "subsample": 0.8, "learning_rate": 0.1} for depth in (2, 3)
-    ]
-    return sweep.grid_search(
-        parts["train"], parts["validation"], parts["test"], MODEL_COLUMNS, combos, floor=0.5, params={"maxIter": 3}
+    grid = sweep.grid_frame(
+        spark, {"depth": (3, 4, 5, 6), "colsample": (0.8,), "subsample": (0.8,), "learning_rate": (0.1,)}
+    )
+    return sweep.grid_search(_sliced(_model_rows(spark, folder)), MODEL_COLUMNS, grid)
+
+
+# One tree of depth 1 on a 0/1 column, without sampling, has a closed form.
+STUMP = {"maxIter": 1, "maxDepth": 1, "subsamplingRate": 1.0, "minInstancesPerNode": 1}
+
+
+def _stump_rows(spark: SparkSession, folder: str) -> DataFrame:
+    forced = codes.flag(F.col("isforceorder") == "T").alias("forced")
+    return _sliced(
+        src.bookings(spark, folder).select("orderid", "ordd", ratios.accepted(F.col("isnoroom")).alias("isbookable"), forced)
+    )
+
+
+def gbt_stump_score(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _stump_rows(spark, folder)
+    fitted = model.train_gbt(rows.where("slice = 'train'"), ["forced"], params=STUMP)
+    scored = model.score(fitted, rows.where("slice = 'test'"), ["forced"], keep=["orderid", "isbookable"])
+    return scored.withColumn("score", F.round("score", 9))
+
+
+def grid_search_stump(spark: SparkSession, folder: str) -> DataFrame:
+    grid = sweep.grid_frame(
+        spark, {"depth": (1,), "colsample": (1.0,), "subsample": (1.0,), "learning_rate": (0.1, 0.2)}
+    )
+    found = sweep.grid_search(
+        _stump_rows(spark, folder), ["forced"], grid, floor=0.4, params={"maxIter": 1, "minInstancesPerNode": 1}
     )
+    return found.withColumn("recall", F.round("recall", 9))
 
 
 def grid_remaining(spark: SparkSession, folder: str) -> DataFrame:
@@ -449,17 +514,23 @@ def registered() -> dict[str, Query]:
         "hold_orders": hold_orders,
         "status_rank": status_rank,
         "status_backfill": status_backfill,
+        "status_backfill_windows": status_backfill_windows,
         "status_backfill_as_written": status_backfill_as_written,
         "close_transitions": close_transitions,
         "close_counts": close_counts,
         "close_counts_as_written": close_counts_as_written,
         "close_hours": close_hours,
         "order_status_history": order_status_history,
+        "shared_status_history": shared_status_history,
         "latest_close_event": latest_close_event,
         "batch_asof": batch_asof,
+        "batch_asof_any_hour": batch_asof_any_hour,
         "feature_assembly": feature_assembly,
         "ratio_features": ratio_features,
-        "training_matrix": training_matrix,
+        "booking_pipeline": booking_pipeline,
+        "training_matrix": _matrix(matrix.ALL_LEVELS),
+        "training_matrix_standardised": _matrix(matrix.STANDARDISED),
+        "training_matrix_dummies": _matrix(matrix.DUMMIES),
         "hold_daily": hold_daily,
         "hold_ratio_by_period": hold_ratio_by_period,
         "capacity_imputation": capacity_imputation,
@@ -480,7 +551,9 @@ def registered() -> dict[str, Query]:
         "roc_auc_hard": _evaluation(evaluate.roc_auc, hard=True),
         "f1_like": _evaluation(evaluate.f1_like),
         "gbt_score": gbt_score,
+        "gbt_stump_score": gbt_stump_score,
         "grid_search": grid_search,
+        "grid_search_stump": grid_search_stump,
         "grid_remaining": grid_remaining,
         "grid_best_by_depth": _best_by("depth"),
         "grid_best_by_learning_rate": _best_by("learning_rate"),

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nightledger.functions.calendar import rest_hours
-from nightledger.functions.ratios import LEVELS
+from nightledger.functions.ratios import LEVELS, safe_ratio
 from nightledger.operators.batches import batch_asof
 from nightledger.operators.capacity import capacity_by_level
 from nightledger.operators.lookback import (
@@ -21,7 +21,8 @@ from nightledger.operators.lookback import (
     same_stay_date_counts,
     widen,
 )
-from nightledger.operators.status import latest_close_event
+from nightledger.operators.quality import assert_unique
+from nightledger.operators.status import close_counts, close_hours, close_transitions, latest_close_event, status_backfill
 from nightledger.operators.stay import base_features, select_targets, stay_split
 from nightledger.session import cut_lineage
 
@@ -46,15 +47,30 @@ def feature_table(
     index_values: Sequence[str] = ("cityi", "zonei", "zonestari"),
     days: int = 30,
     horizon: int = 3,
+    until: date | None = None,
+    status_tie: Sequence[str] = (),
+    check: bool = False,
+    close_features: bool = False,
 ) -> DataFrame:
     """Base attributes, look-back counts, capacity, rest time, close source and batch index.
 
+    Every scan is bounded by what targets booked from ``since`` to ``until``, both included, can reach. With
+    ``check``, repeated order ids among targets raise. With ``close_features``, the trace of the status
+    log adds ``closetimes``, ``closehours`` and ``close_hour_per``.
+
     Targets are a small share of the nights but every block starts from them, so
     they are written out once instead of being selected from the nights each time.
     """
+    orders = _between(orders, "ordd", since - timedelta(days=days), until)
+    whole_log = status
+    status = _between(status, "effectdate", since, until and until + timedelta(days=horizon - 1))
+    status = _before(status, until)
+    index = _between(index, "d", since - timedelta(days=1), until)
     nights = stay_split(orders)
     base = base_features(select_targets(nights, since, horizon), hotels, rooms)
     base = cut_lineage(base.withColumn("rest_time", rest_hours(F.col("order_ts"), F.col("checkindate"))))
+    if check:
+        assert_unique(base, "orderid")
     targets = base.select(
         "orderid", "order_ts", "ordd", "effectdate", "room", "hotel", "masterhotelid", "masterbasicroomid"
     )
@@ -67,6 +83,32 @@ def feature_table(
         {**grid_names(DAILY_MEASURES, f"_{days}d"), ("mhtl", "hold_ordnum"): "mhtl_hold_ordnum"},
     )
     capacity = widen(capacity_by_level(targets, nights, LEVELS, days), grid_names(["max_rmqty"], ""))
-    close_source = latest_close_event(targets, status).select("orderid", "eid_source")
+    close_source = latest_close_event(targets, status, status_tie).select("orderid", "eid_source")
     batch = batch_asof(base, index, index_keys, index_values).select("orderid", *index_values)
-    return assemble(base, any_date, same_date, capacity, close_source, batch)
+    blocks = [any_date, same_date, capacity, close_source, batch]
+    if close_features:
+        last = until and until + timedelta(days=horizon - 1)
+        trace = close_transitions(status_backfill(whole_log, tie=status_tie, since=since, until=last))
+        blocks.append(_closed_time(targets, trace))
+    return assemble(base, *blocks)
+
+
+def _closed_time(targets: DataFrame, trace: DataFrame) -> DataFrame:
+    """How often and how long the target's room was closed for its stay date."""
+    hours = close_hours(targets, trace).select("orderid", "closehours")
+    times = targets.select("orderid", "room", "effectdate").join(close_counts(trace), ["effectdate", "room"])
+    both = times.select("orderid", "closetimes").join(hours, "orderid", "full")
+    return both.withColumn("close_hour_per", safe_ratio(F.col("closehours"), F.col("closetimes")))
+
+
+def _between(df: DataFrame, column: str, low: date, high: date | None) -> DataFrame:
+    df = df.where(F.col(column) >= F.lit(low))
+    return df if high is None else df.where(F.col(column) <= F.lit(high))
+
+
+def _before(log: DataFrame, until: date | None) -> DataFrame:
+    """Changes up to the last booking day, said on the partition column where there is one."""
+    if until is None:
+        return log
+    log = log.where(F.col("operatetime") < F.lit(until + timedelta(days=1)))
+    return log.where(F.col("d") <= F.lit(until)) if "d" in log.columns else log

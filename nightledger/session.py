@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,10 +22,19 @@ def local_session(app: str = "nightledger", cpus: int | str = "*", partitions: i
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", _own_folder())
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
 
 
+def _own_folder() -> str:
+    """A checkpoint folder for one local session, removed with the process."""
+    folder = tempfile.mkdtemp(prefix="nightledger-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return f"file://{folder}"
+
+
 def cluster_settings(shuffled_bytes: int, partition_bytes: int = 192 * 1024**2) -> dict[str, str]:
     """Session settings for a run that shuffles about this much.
 
@@ -42,18 +54,34 @@ def cluster_settings(shuffled_bytes: int, partition_bytes: int = 192 * 1024**2)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and read it back.
+    """Write ``df`` to the folder that the session names in ``spark.checkpoint.dir`` and read it back.
+
+    All executors have to share that folder. Spark removes the files of frames that are no longer used
+    where ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set.
+    """
+    _shared_folder(df.sparkSession)
+    return df.checkpoint()
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a
-    local session without that setting gets a fresh temporary folder.
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet in the same folder and read it back.
+
+    Unlike a checkpoint the result has a size that Spark knows and no partitioning, so a join on it adds an exchange, which
+    adaptive execution can split.
     """
-    spark = df.sparkSession
+    path = f"{_shared_folder(df.sparkSession).rstrip('/')}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not context.master.startswith("local"):
+            if not context.master.startswith("local["):
                 raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="nightledger-")
+            folder = _own_folder()
+            spark.conf.set("spark.checkpoint.dir", folder)
         context.setCheckpointDir(folder)
-    return df.checkpoint()
+    return context.getCheckpointDir()

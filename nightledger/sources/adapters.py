@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from nightledger.sources.tables import read_table
+
 # Operator ids that reach every branch of the operator classifier.
 OPERATOR_IDS = (
     "DHS&11",
@@ -26,8 +28,12 @@ OPERATOR_IDS = (
 AGENT_NAMES = ("亿程旅行社", "叮丁旅行社", "松果网", "代理", "别家")
 
 
+# The log is read by its declared columns.
+SCHEMAS = {"events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return read_table(spark, f"{folder}/{name}.parquet", SCHEMAS.get(name))
 
 
 def _secs(number: Column) -> Column:
@@ -103,14 +109,14 @@ def room_dim(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def booking_snapshot(spark: SparkSession, folder: str) -> DataFrame:
-    """Raw booking fact with the columns the selection filters look at."""
+    """Raw booking fact with the columns the selection filters look at; a tenth of the rooms are unknown."""
     c = F.col
     key, day = c("o_orderkey"), F.to_date("o_orderdate")
     midnight = c("o_orderdate")
     return table(spark, folder, "orders").select(
         key.alias("orderid"),
         (midnight + _secs(key)).alias("orderdate"),
-        c("o_custkey").cast("int").alias("room"),
+        F.when(key % 10 == 9, -c("o_custkey")).otherwise(c("o_custkey")).cast("int").alias("room"),
         (midnight + F.make_dt_interval(days=(key % 4).cast("int"))).alias("arrival"),
         (midnight + F.make_dt_interval(days=((key % 4) + (c("o_custkey") % 4)).cast("int"))).alias("etd"),
         (1 + key % 3).cast("int").alias("ordroomnum"),
@@ -135,9 +141,7 @@ def booking_snapshot(spark: SparkSession, folder: str) -> DataFrame:
 def raw_rooms(spark: SparkSession, folder: str) -> DataFrame:
     k = F.col("c_custkey")
     return (
-        table(spark, folder, "customer")
-        .where(k % 10 != 9)
-        .select(
+        table(spark, folder, "customer").select(
             k.cast("int").alias("room"),
             F.col("c_nationkey").alias("hotel"),
             F.when(k % 8 == 0, None).otherwise(k % 8 - 1).cast("int").alias("basicroomtypeid"),
@@ -155,14 +159,14 @@ def raw_base_rooms(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def shadow_orders(spark: SparkSession, folder: str) -> DataFrame:
-    """Two daily snapshots; odd orders are only in the later one."""
+    """Two daily snapshots; a quarter of the orders is only in the later one."""
     key = F.col("o_orderkey")
-    return table(spark, folder, "orders").where(key % 3 == 0).select(
+    return table(spark, folder, "orders").select(
         key.alias("orderid"),
         (key * 10).alias("shadowid"),
-        _flag(key % 2 == 0).alias("isforceorder"),
+        _flag(key % 5 < 3).alias("isforceorder"),
         _choose(key, AGENT_NAMES).alias("agentname"),
-        F.when(key % 2 == 0, F.lit("2016-05-16")).otherwise("2016-05-17").cast("date").alias("d"),
+        F.when(key % 4 == 3, F.lit("2016-05-17")).otherwise("2016-05-16").cast("date").alias("d"),
     )
 
 
@@ -219,6 +223,17 @@ def batch_index(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def hourly_index(spark: SparkSession, folder: str) -> DataFrame:
+    """Batches that start at any hour."""
+    c = F.col
+    places = [(c("user_id") % 5).cast("int").alias("city"), (c("user_id") % 2).cast("int").alias("zone")]
+    return (
+        table(spark, folder, "events")
+        .groupBy(*places, F.to_date("ts").alias("d"), F.hour("ts").cast("int").alias("hour"))
+        .agg(F.max("ts").alias("updatime"), F.round(F.avg("value"), 6).alias("cityi"))
+    )
+
+
 def stay_status_log(spark: SparkSession, folder: str) -> DataFrame:
     """Status log in the months of the bookings, from shipments."""
     c = F.col

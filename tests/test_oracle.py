@@ -5,11 +5,13 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from nightledger.plans.catalog import registered
+from nightledger.plans.oracle import oracle_sql
 from tests.oracle_check import compare, connect
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = registered()
+SQL = oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -34,9 +36,14 @@ def test_training_gives_probabilities(spark):
 
 def test_grid_search_logs_each_combination(spark):
     rows = QUERIES["grid_search"](spark, FOLDER).collect()
-    assert sorted(r["depth"] for r in rows) == [2, 3]
+    assert sorted(r["depth"] for r in rows) == [3, 4, 5, 6]
     assert all(0.0 <= r["recall"] <= 1.0 for r in rows)
 
 
+def test_entry_registers_everything():
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
 def test_entry_has_rows(spark):
     assert entry.entry(spark).count() > 0

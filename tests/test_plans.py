@@ -4,10 +4,12 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+from nightledger.plans.catalog import registered
 
 FOLDER = "/root/testdata/sf0.001"
-PLANNED = sorted(set(entry.queries()) - {"gbt_score", "grid_search"})
+QUERIES = registered()
+TRAINED = {"gbt_score", "gbt_stump_score", "grid_search", "grid_search_stump"}
+PLANNED = sorted(set(QUERIES) - TRAINED)
 
 
 def plan_of(df) -> str:
@@ -16,7 +18,7 @@ def plan_of(df) -> str:
 
 @pytest.mark.parametrize("name", PLANNED)
 def test_no_cross_product_and_no_python(spark, name):
-    plan = plan_of(entry.queries()[name](spark, FOLDER))
+    plan = plan_of(QUERIES[name](spark, FOLDER))
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
     assert "Python" not in plan and "InPandas" not in plan
@@ -28,19 +30,19 @@ def test_joins_work_without_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         for name in ("orders_enriched", "batch_asof", "lookback_mhtl_efdt", "modal_correction"):
-            plan = plan_of(entry.queries()[name](spark, FOLDER))
+            plan = plan_of(QUERIES[name](spark, FOLDER))
             assert "SortMergeJoin" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 def test_scan_reads_only_what_is_needed(spark):
-    plan = plan_of(entry.queries()["modal_category"](spark, FOLDER))
+    plan = plan_of(QUERIES["modal_category"](spark, FOLDER))
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
     orders = [s for s in schemas if "o_custkey" in s]
     assert orders and all("o_totalprice" not in s and "o_orderdate" not in s for s in orders)
 
 
 def test_filters_reach_the_scan(spark):
-    plan = plan_of(entry.queries()["null_rates"](spark, FOLDER))
+    plan = plan_of(QUERIES["null_rates"](spark, FOLDER))
     assert "EqualTo(o_orderstatus,F)" in plan

@@ -127,15 +127,17 @@ def log_rows(spark, rows):
 
 def test_backfill_takes_the_last_earlier_status(spark):
     log = log_rows(spark, [(1, None, "N", ""), (2, None, "G", ""), (3, "G", "N", ""), (3, None, "G", ""), (4, None, "N", "")])
-    got = sorted((r.operatetime.hour, r.old_roomstatus, r.new_roomstatus) for r in status.status_backfill(log).collect())
+    trace = status.status_backfill(log, tie=["event_id"]).collect()
+    got = sorted((r.operatetime.hour, r.old_roomstatus, r.new_roomstatus) for r in trace)
     # the first row has nothing before it; of the two changes at 3 the later id counts
     assert got == [(2, "N", "G"), (3, "G", "G"), (3, "G", "N"), (4, "G", "N")]
 
 
 def test_backfill_as_written_counts_copies(spark):
     log = log_rows(spark, [(1, "G", "N", ""), (2, None, "G", ""), (3, None, "N", ""), (4, None, "G", "")])
-    got = {r.operatetime.hour: r.copies for r in status.status_backfill(log, as_written=True).collect()}
-    assert got == {1: 1, 2: 3, 3: 2, 4: 1}
+    trace = status.status_backfill(log, as_written=True, tie=["event_id"])
+    assert {r.operatetime.hour: r.copies for r in trace.collect()} == {1: 1, 2: 3, 3: 2, 4: 1}
+    assert sorted(r.operatetime.hour for r in status.repeated(trace).collect()) == [1, 2, 2, 2, 3, 3, 4]
 
 
 def test_status_window_is_ninety_days_before_the_stay(spark):
@@ -150,7 +152,7 @@ def test_latest_close_breaks_ties_and_includes_the_instant(spark):
         [(1, 1, D(2016, 3, 10), T(2016, 3, 9, 5)), (2, 1, D(2016, 3, 10), T(2016, 3, 9, 4)), (3, None, D(2016, 3, 10), T(2016, 3, 9, 9))],
         "orderid int, room int, effectdate date, order_ts timestamp_ntz",
     )
-    got = {r.orderid: r.eid_source for r in status.latest_close_event(orders, log).collect()}
+    got = {r.orderid: r.eid_source for r in status.latest_close_event(orders, log, ["event_id"]).collect()}
     assert got == {1: "订单组"}
 
 
@@ -170,8 +172,9 @@ def test_history_counts_orders_once(spark):
     orders = spark.createDataFrame(
         [(i, 1, D(2016, 3, 10), D(2016, 3, 10)) for i in range(3)], "orderid int, room int, effectdate date, ordd date"
     )
-    got = status.order_status_history(orders, log).collect()
-    assert [r.orders for r in got] == [3, 3]
+    assert [r.orders for r in status.shared_status_history(orders, log).collect()] == [3, 3]
+    rows = status.order_status_history(orders, log).collect()
+    assert sorted((r.orderid, r.operatetime.hour) for r in rows) == [(i, h) for i in range(3) for h in (1, 2)]
 
 
 def test_batch_choice(spark):
@@ -294,7 +297,7 @@ def test_trained_model_round_trip(spark, tmp_path):
         (F.col("id") % 2 + F.col("id") % 3).cast("double").alias("a"),
         F.when(F.col("id") % 5 > 0, F.col("id") % 7).cast("double").alias("b"),
     )
-    fitted = model.train_gbt(frame, None, ["a", "b"], params={"maxIter": 2, "maxDepth": 2})
+    fitted = model.train_gbt(frame, ["a", "b"], params={"maxIter": 2, "maxDepth": 2})
     path = str(tmp_path / "model")
     model.save_model(fitted, path)
     one, two = (
