@@ -22,13 +22,13 @@ def local_session(app: str = "nightledger", cpus: int | str = "*", partitions: i
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.checkpoint.dir", _own_folder())
+        .config("spark.checkpoint.dir", own_folder())
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
 
 
-def _own_folder() -> str:
+def own_folder() -> str:
     """A checkpoint folder for one local session, removed with the process."""
     folder = tempfile.mkdtemp(prefix="nightledger-")
     atexit.register(shutil.rmtree, folder, ignore_errors=True)
@@ -81,7 +81,7 @@ def _shared_folder(spark: SparkSession) -> str:
         if folder is None:
             if not context.master.startswith("local["):
                 raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            folder = _own_folder()
+            folder = own_folder()
             spark.conf.set("spark.checkpoint.dir", folder)
         context.setCheckpointDir(folder)
     return context.getCheckpointDir()
