@@ -8,7 +8,6 @@ no Python code runs per word.
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 from collections.abc import Iterator
 from pathlib import Path
@@ -22,6 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from nightledger.session import own_folder
+
 NULL_ID = -(2**63)
 BLOCK_BYTES = 1 << 19
 _STEP = 0x9E3779B97F4A7C15
@@ -48,7 +49,7 @@ def shared_folder(spark: SparkSession) -> str:
     if base is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="nightledger-llm-")
+        base = own_folder()
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 

@@ -152,3 +152,34 @@ def _in_repeats(words: np.ndarray, first: np.ndarray, k: int) -> np.ndarray:
         np.add.at(flags, starts, 1)
         np.add.at(flags, starts + k, -1)
     return np.cumsum(flags)[: len(words)] > 0
+
+
+ORACLE = r"""
+with d as (
+  select doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+g as (select doc_id, i, array_to_string(w[i:i + 7], ' ') as k from (select doc_id, w, unnest(range(1, len(w) - 6)) as i from d)),
+twice as (select doc_id, i from (select *, count(*) over (partition by doc_id, k) as c from g) where c > 1),
+inside as (select doc_id, count(distinct j) as n_repeat from (select doc_id, unnest(range(i, i + 8)) as j from twice) group by doc_id),
+parts as (select doc_id, string_split(t, chr(10)) as p from d),
+lines as (select doc_id, i, p[i] as line from (select doc_id, p, unnest(range(1, len(p) + 1)) as i from parts)),
+f as (
+  select doc_id, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') as w, octet_length(encode(line)) as size,
+    row_number() over (partition by doc_id, line order by i) > 1 as again from lines),
+v as (
+  select *, len(w) as n, len(list_filter(w, lambda x: x in ('|', '>', '»', '·', '•'))) as bars,
+    len(list_filter(w, lambda x: regexp_matches(x, '[#*$%&|<>]|!!'))) as marked from f where len(w) > 0),
+judged as (
+  select *, (again and n >= 3) or (n >= 3 and bars >= 3 and bars >= 0.15::double * n)
+    or (n >= 10 and marked > 0 and marked >= 0.3::double * n) or (n >= 60 and not regexp_matches(line, '[.,;:!?…]'))
+    or (n <= 20 and regexp_matches(line, 'cookies?\b|javascript|click here|subscribe|sign up|log in|terms of (?:use|service)'
+      || '|privacy policy|all rights reserved|read more|share this', 'i')) as failed from v),
+verdict as (
+  select doc_id, count(*) as n_lines, count(*) filter (failed) as n_failed, count(*) filter (again) as n_dup,
+    coalesce(sum(size) filter (failed), 0)::double / sum(size)::double as lost from judged group by doc_id)
+select d.doc_id, cast(len(w) as bigint) as n_words, cast(length(array_to_string(w, '')) as bigint) as word_chars,
+  cast(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) as bigint) as n_symbols, cast(coalesce(n_dup, 0) as bigint) as n_dup_lines,
+  cast(coalesce(n_repeat, 0) as bigint) as n_repeat_words, len(w) < 20 or 100 * coalesce(n_repeat, 0) > 30 * len(w) as base_failed,
+  not (len(w) < 20 or 100 * coalesce(n_repeat, 0) > 30 * len(w)) and coalesce(lost, 0) <= 0.5 as kept,
+  cast(coalesce(n_lines, 0) as bigint) as n_lines, cast(coalesce(n_failed, 0) as bigint) as n_failed_lines, coalesce(lost, 0.0) as lost_share
+from d left join inside using (doc_id) left join verdict using (doc_id)
+"""

@@ -77,6 +77,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     """The same results as SQL; models and searches with bounded errors have no SQL form."""
     return {
+        "op1_line_quality": quality_rules.ORACLE,
         "op2_warc_index": warc_index.ORACLE,
         "op4_passage_dedup": cover_dedup.ORACLE,
         "op6_decontamination": winnow.ORACLE,
