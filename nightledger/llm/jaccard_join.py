@@ -9,9 +9,10 @@ Where nodes meet, the length filter (sizes within the threshold) and the positio
 first common shingle) drop pairs; before two sets are compared, the suffix filter bounds their difference by
 counts per range of hashes. Each pair is compared once, on whole sets.
 
-A shingle that k nodes share makes no k * k pairs. First every node is paired with its neighbour in size and with the
-smallest node it could link to; the components of the links found join almost everything. Then only nodes that meet
-while still in different components are paired, every such pair, which makes the components exact.
+A shingle that k nodes share makes no k * k pairs. First every node is paired with its neighbour in size, with the
+smallest node it could link to and with the node that holds the shingle earliest in its order; the components of the links
+found join almost everything. Then only nodes that meet while still in different components are paired, every such pair,
+which makes the components exact.
 
 Defined results: a document without words, or with a null text, links with nothing and is its own component; with
 fewer words than ``size`` the whole sequence is the one shingle; a null id counts as the smallest id and
@@ -211,8 +212,11 @@ def meetings(sent: DataFrame, count: int, percent: int) -> DataFrame:
         line = group.astype(np.int64) * step + n
         least = np.searchsorted(line, group.astype(np.int64) * step + -(-n * percent // 100))
         pairs = []
-        for other in (np.maximum(index - 1, 0), least):
-            ok = (other < index) & (group[other] == group)
+        # the node where the shingle comes first has the fewest rare ones before it: the least edited of near copies
+        early = np.lexsort((index, place, group))
+        hub = early[np.searchsorted(group, group)]
+        for other in (np.maximum(index - 1, 0), least, hub):
+            ok = (other != index) & (group[other] == group)
             a, b = index[ok], other[ok]
             pass_ = could_link(n[a], place[a], n[b], place[b], percent)
             pairs.append(np.stack([np.minimum(node[a], node[b])[pass_], np.maximum(node[a], node[b])[pass_]], axis=1))
@@ -300,10 +304,11 @@ def still_apart(met: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """
     members = met.where("other is null").select("token", "node", "n", "place").join(labels, "node", "left")
     members = members.withColumn("label", F.coalesce("label", "node"))
+    # what is aggregated or joined by shingle is written before the next join, so that a frequent shingle can be split
     spread = members.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    members = written(members.join(spread.select("token"), "token"), "members")
+    members = written(members.join(written(spread.select("token"), "spread"), "token"), "members")
     main = members.groupBy("token", "label").agg(F.count("*").alias("k")).groupBy("token").agg(F.max(F.struct("k", "label"))["label"].alias("main"))
-    some = members.join(written(main, "main"), "token").where("label <> main")
+    some = written(members.join(written(main, "main"), "token").where("label <> main"), "some")
     x, y = some.alias("x"), members.alias("y")
     once = (F.col("y.label") == F.col("x.main")) | (F.col("x.node") < F.col("y.node"))
     fits = 100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")
