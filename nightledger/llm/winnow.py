@@ -23,6 +23,8 @@ from nightledger.llm.common import keyed, keys_of, written
 
 WINDOW = 10
 GRAM = 5
+#: Seeds of a benchmark are broadcast up to this number, of 16 bytes each; beyond it they are joined by a shuffle.
+MOST_BROADCAST = 500_000
 _POSITION_BITS = 30  # a text of 2 GB has fewer words than this counts
 _HASH_MASK = (1 << 33) - 1
 _APART = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -39,6 +41,11 @@ def words(text: Column) -> Column:
     return F.array_remove(F.when(plain, F.split(F.lower(text), _APART)).otherwise(lowered), "")
 
 
+def word_count(text: Column) -> Column:
+    """How many words; case makes no difference to that."""
+    return F.size(F.array_remove(F.split(text, _APART), "")).cast("long")
+
+
 def _places(count: Column, size: int) -> Column:
     """The starts, from 0, of runs of ``size`` among ``count`` values; an empty array where there are too few."""
     none = F.array().cast("array<int>")
@@ -55,8 +62,8 @@ def _hashes(ws: Column, size: int) -> Column:
     )
 
 
-def fingerprints(df: DataFrame, keys: list[str], short: list[int]) -> DataFrame:
-    """``keys``, hash ``h`` and place ``p`` of the fingerprints of column ``ws``."""
+def fingerprints(df: DataFrame, keys: list[str], short: list[int], *, with_words: bool = False) -> DataFrame:
+    """``keys``, hash ``h`` and place ``p`` of the fingerprints of column ``ws``, which stays with ``with_words``."""
     width = WINDOW - GRAM + 1
     # ``all_grams`` is used twice below, so the optimizer doesn't move its work into the inner function
     df = df.select(*keys, "ws", _hashes(F.col("ws"), GRAM).alias("all_grams"))
@@ -64,8 +71,9 @@ def fingerprints(df: DataFrame, keys: list[str], short: list[int]) -> DataFrame:
         F.transform(_places(F.size("all_grams"), width), lambda i: F.array_min(F.slice("all_grams", i + 1, width)))
     )
     value = F.explode(F.concat(kept, *(_hashes(F.col("ws"), n) for n in short)))
-    return df.select(*keys, value.alias("v")).select(
-        *keys,
+    rest = [*keys, "ws"] if with_words else keys
+    return df.select(*rest, value.alias("v")).select(
+        *rest,
         F.shiftright("v", _POSITION_BITS).alias("h"),
         F.col("v").bitwiseAND((1 << _POSITION_BITS) - 1).cast("int").alias("p"),
     )
@@ -101,21 +109,19 @@ def occurrences(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataF
     seeds = written(seeds.distinct(), "seeds")
 
     key = ["k_id", "k_text"]
-    probes = fingerprints(base.select(*key, words(F.col("text")).alias("ws")), key, short)
     first = F.when(F.col("n") < WINDOW, F.col("p")).otherwise(F.greatest(F.lit(0), F.col("p") - (WINDOW - GRAM)))
     places = F.transform(F.sequence(first, F.col("p")), lambda i: F.struct(i.alias("start"), F.col("n").alias("n")))
-    hits = (
-        probes.join(seeds, "h")
-        .select(*key, F.explode(places).alias("at"))
-        .groupBy(*key)
-        .agg(F.collect_set("at").alias("at"))
-    )
-    hits = written(hits, "hits")
+    texts = base.select(*key, words(F.col("text")).alias("ws"))
+    if seeds.count() <= MOST_BROADCAST:
+        # in one stage: words stay where they are, and only around hits windows are cut from them
+        around = fingerprints(texts, key, short, with_words=True).join(F.broadcast(seeds), "h")
+        around = around.select(*key, "ws", F.explode(places).alias("at"))
+    else:
+        hits = fingerprints(texts, key, short).join(seeds, "h").select(*key, F.explode(places).alias("at"))
+        hits = written(hits.groupBy(*key).agg(F.collect_set("at").alias("at")), "hits")
+        around = base.join(hits, key).select(*key, "at", words(F.col("text")).alias("ws")).select(*key, "ws", F.explode("at").alias("at"))
     inside = (
-        base.join(hits, key)
-        .select(*key, "at", words(F.col("text")).alias("ws"))
-        .select(*key, "ws", F.explode("at").alias("at"))
-        .select(*key, "at.start", "at.n", F.slice("ws", F.col("at.start") + 1, F.col("at.n")).alias("window"))
+        around.select(*key, "at.start", "at.n", F.slice("ws", F.col("at.start") + 1, F.col("at.n")).alias("window"))
         .where(F.size("window") == F.col("n"))
         .select(*key, "start", "n", F.concat_ws(" ", "window").alias("window"))
     )
@@ -147,7 +153,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .agg(F.sort_array(F.collect_set("item_id")).alias("ids"))
         .select(*key, F.size("ids").cast("long").alias("n_items"), F.sha2(F.array_join("ids", ","), 256).alias("items_sha256"))
     )
-    counted = base.select("doc_id", *key, F.size(words(F.coalesce("text", F.lit("")))).cast("long").alias("n_words"))
+    counted = base.select("doc_id", *key, word_count(F.coalesce("text", F.lit(""))).alias("n_words"))
     return (
         counted.join(covered.join(listed, key), key, "left")
         .select(

@@ -2,6 +2,8 @@ import hashlib
 import random
 import re
 
+import pytest
+
 from nightledger.llm import winnow
 from tests.llm.fixtures import EMPTY, PROSE, documents, odd_rows
 
@@ -36,7 +38,9 @@ def check(spark, docs, items):
     assert sorted((str(r.doc_id), r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in got) == want
 
 
-def test_equals_a_direct_search(spark):
+@pytest.mark.parametrize("most", [winnow.MOST_BROADCAST, 0])
+def test_equals_a_direct_search(spark, monkeypatch, most):
+    monkeypatch.setattr(winnow, "MOST_BROADCAST", most)
     draw = random.Random(3)
     some = lambda n: " ".join(draw.choice(["the", "of", "Ünd", "x1", "Rope", "é"]) for _ in range(n))
     items = [(1, PROSE), (2, some(40)), (3, some(10)), (4, "salt, and tea!"), (5, some(6)), (6, None), (7, ""), (None, "first boats are"), (10, PROSE)]
