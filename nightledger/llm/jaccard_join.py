@@ -49,7 +49,7 @@ from nightledger.llm.common import (
 
 SKETCH = 1 << 18
 SLICES = 64
-RUN_BYTES = 16 << 20
+RUN_BYTES = 8 << 20
 
 
 def shingles(texts: list[bytes] | pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -242,12 +242,15 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for start in range(0, whole.num_rows, 512):
-                batch = whole.slice(start, 512)
+            for start in range(0, whole.num_rows, 128):
+                batch = whole.slice(start, 128)
                 a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
                 own = dict(zip(a, batch.column("of_a"), strict=True)) | dict(zip(b, batch.column("of_b"), strict=True))
-                h, first = shingles(unsqueezed(pa.array([x.as_py() for x in own.values()], pa.binary())), size)
-                sets = {k: h[first[i] : first[i + 1]] for i, k in enumerate(own)}
+                texts_of = pa.record_batch({"text": pa.array(unsqueezed(pa.array([x.as_py() for x in own.values()], pa.binary())), pa.binary())})
+                sets, names = {}, iter(own)
+                for part in rows_of([texts_of]):
+                    h, first = shingles(part.column("text"), size)
+                    sets |= {k: h[a:b] for a, b, k in zip(first, first[1:], names)}
                 ranges = {k: np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=64) for k, s in sets.items()}
                 keep = []
                 for i, (x, y) in enumerate(zip(a, b, strict=True)):
@@ -321,7 +324,7 @@ def still_apart(met: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
 def groups(docs: DataFrame, *, size: int = 5, percent: int = 75) -> DataFrame:
     """Per document its key, the size of its set ``n``, and the key of the ``first`` document that links lead to."""
     base = keyed(docs)
-    count = buckets(text_bytes(docs))
+    count = buckets(text_bytes(docs), 16 << 20)
     profiled = profile(base, size)
     rows = profiled.where("slice is null").select("doc_id", "k_id", "k_text", "n", "node")
     met = meetings(prefixes(base, frequencies(profiled), size, percent, count), count, percent)
