@@ -26,7 +26,9 @@ from pyspark.sql import functions as F
 from nightledger.llm.common import rows_of, written
 
 SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
-SHARD_ROWS = 200_000
+#: Pieces of a length that one task ranks: a part of all pieces, within these bounds.
+SHARD_ROWS = (1_000, 200_000)
+SHARD_PARTS = 256
 #: Outside of these the two tokenizer libraries may know different Unicode classes.
 _RARE = re.compile(r"[^\x00-ɏ‐-‧€]")
 
@@ -107,7 +109,8 @@ def pack(docs: DataFrame, *, size: int = 1024, tokenizer: str = "byte_bpe_50k",
     spark = docs.sparkSession
     cut = written(pieces(docs, size=size, tokenizer=tokenizer, end_id=end_id), "pieces")
     counts = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    shards = 1 + max(counts.values(), default=0) // SHARD_ROWS
+    each = min(max(sum(counts.values()) // SHARD_PARTS, SHARD_ROWS[0]), SHARD_ROWS[1])
+    shards = 1 + max(counts.values(), default=0) // each
     cut = cut.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "start"), F.lit(shards)).cast("int"))
     before = Window.partitionBy("length").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     bases = (

@@ -139,7 +139,9 @@ def test_dual_coordinate_descent_separates_and_one_class_is_its_share():
 # -- packing ------------------------------------------------------------------------------------------
 
 
-def test_pieces_are_exact_and_sequences_gapless(spark):
+@pytest.mark.parametrize("rows_a_shard", [1, 1000])
+def test_pieces_are_exact_and_sequences_gapless(spark, monkeypatch, rows_a_shard):
+    monkeypatch.setattr(histogram_packing, "SHARD_ROWS", (rows_a_shard, 200_000))
     rows = [*odd_rows(), (50, "special <|endoftext|> text"), (51, PROSE * 40)]
     got = histogram_packing.pack(documents(spark, rows), size=128).collect()
     encoder = histogram_packing.Encoder("byte_bpe_50k").whole
