@@ -14,6 +14,10 @@ smallest node it could link to and with the node that holds the shingle earliest
 found join almost everything. Then only nodes that meet while still in different components are paired, every such pair,
 which makes the components exact.
 
+Two sets that link are in one component, so the links are counted inside components, after these are known. The sets of a
+component are packed in blocks; blocks whose prefixes meet and pass the length and positional filters are compared, each two
+of them once, by one product of their incidence matrices. So every link counts, and a pair of sets is never a row.
+
 Defined results: a document without words, or with a null text, links with nothing and is its own component; with
 fewer words than ``size`` the whole sequence is the one shingle; a null id counts as the smallest id and
 gives a null component; repeated rows are copies; other columns are not looked at.
@@ -50,6 +54,9 @@ from nightledger.llm.common import (
 SKETCH = 1 << 18
 SLICES = 64
 RUN_BYTES = 8 << 20
+BLOCK_SETS = 256
+BLOCK_SHINGLES = 1 << 16
+COLUMNS = 4096
 
 
 def shingles(texts: list[bytes] | pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -321,8 +328,119 @@ def still_apart(met: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
-def groups(docs: DataFrame, *, size: int = 5, percent: int = 75) -> DataFrame:
-    """Per document its key, the size of its set ``n``, and the key of the ``first`` document that links lead to."""
+def placed_sets(of_node: DataFrame, texts: DataFrame, count: int) -> DataFrame:
+    """The nodes of components of several, their text, and the ``block`` they are in.
+
+    A small component is one block, 0, and shares a task with others; a large one has blocks per band of sizes, about
+    ``BLOCK_SETS`` sets and ``BLOCK_SHINGLES`` shingles each.
+    """
+    banded = texts.join(of_node.select("node", "label", "n", "copies"), "node").withColumn("band", F.floor(2 * F.log2("n")))
+    banded = written(banded, "banded")
+    per_band = written(banded.groupBy("label", "band").agg(F.count("*").alias("k"), F.sum("n").alias("total")), "bands")
+    per_label = written(per_band.groupBy("label").agg(F.sum("k").alias("all_k"), F.sum("total").alias("all_n")), "sizes")
+    parts = F.greatest(F.ceil(F.col("k") / BLOCK_SETS), F.ceil(F.col("total") / BLOCK_SHINGLES))
+    small = (F.col("all_k") <= BLOCK_SETS) & (F.col("all_n") <= BLOCK_SHINGLES)
+    plan = per_band.join(per_label.where("all_k > 1"), "label").select("label", "band", F.when(small, 0).otherwise(parts).alias("parts"))
+    out = banded.join(written(plan, "plan"), ["label", "band"])
+    own = (F.col("band") + 1) * (1 << 32) + F.pmod(F.xxhash64("node"), "parts")
+    out = out.withColumn("block", F.when(F.col("parts") == 0, F.lit(0)).otherwise(own).cast("long"))
+    spot = F.when(F.col("block") == 0, F.pmod(F.xxhash64("label"), F.lit(count))).otherwise(F.xxhash64("label", "block"))
+    return out.select(spot.alias("spot"), "label", "block", "node", "copies", "text")
+
+
+def packed_sets(placed: DataFrame, size: int) -> DataFrame:
+    """Per block of a component its nodes, their rows, the sizes of their sets, and the sets as places in a common list."""
+    kind = "label long, block long, data binary"
+
+    def pack(table: pa.Table) -> pa.Table:
+        label, block, node, copies = (table[c].to_numpy() for c in ("label", "block", "node", "copies"))
+        whole = pa.record_batch({"text": pa.array(unsqueezed(table["text"]), pa.binary())})
+        sets = []
+        for part in rows_of([whole]):
+            h, first = shingles(part.column("text"), size)
+            sets += [h[a:b] for a, b in zip(first, first[1:], strict=False)]
+        order = np.lexsort((node, block, label))
+        lead = np.ones(len(order), bool)
+        lead[1:] = (np.diff(label[order]) != 0) | (np.diff(block[order]) != 0)
+        out = []
+        for g in np.split(order, np.flatnonzero(lead)[1:]):
+            listed, at = np.unique(np.concatenate([sets[i] for i in g]), return_inverse=True)
+            n = np.array([len(sets[i]) for i in g], np.uint32)
+            out.append((label[g[0]], block[g[0]], packed(node[g], copies[g], n, listed, at.astype(np.uint32))))
+        columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.binary()), strict=True)]
+        return pa.Table.from_arrays(columns, names=["label", "block", "data"])
+
+    return written(placed.groupBy("spot").applyInArrow(pack, kind), "blocks")
+
+
+def block_pairs(met: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
+    """Different blocks (x, y) of one component that could hold a pair: they meet in a shingle and pass its filters."""
+    large = placed.where("block <> 0").select("node", "label", "block")
+    members = met.where("other is null").select("token", "node", "n", "place").join(large, "node")
+    ends = (F.min("n").alias("low"), F.max("n").alias("high"), F.max(F.col("n") - F.col("place")).alias("rest"))
+    spots = written(members.groupBy("label", "token", "block").agg(*ends), "spots")
+    x, y = spots.alias("x"), spots.alias("y")
+    fits = (100 * F.col("x.high") >= percent * F.col("y.low")) & (100 * F.col("y.high") >= percent * F.col("x.low"))
+    enough = (100 + percent) * F.least("x.rest", "y.rest") >= percent * (F.col("x.low") + F.col("y.low"))
+    same = (F.col("x.label") == F.col("y.label")) & (F.col("x.token") == F.col("y.token"))
+    pairs = x.join(y, same & (F.col("x.block") < F.col("y.block")) & fits & enough)
+    return written(pairs.select(F.col("x.label").alias("label"), F.col("x.block").alias("x"), F.col("y.block").alias("y")).distinct(), "block_pairs")
+
+
+def linked(x: list[np.ndarray], y: list[np.ndarray], percent: int) -> np.ndarray:
+    """For all sets of two blocks whether they link; ``x`` and ``y`` as ``packed_sets`` has them."""
+    _, at_x, at_y = np.intersect1d(x[3], y[3], assume_unique=True, return_indices=True)
+    common = np.zeros((len(x[0]), len(y[0])), np.float32)
+    sides = []
+    for (node, _, n, listed, at), own in ((x, at_x), (y, at_y)):
+        place = np.full(len(listed), -1, np.int64)
+        place[own] = np.arange(len(own))
+        sides.append((len(node), np.repeat(np.arange(len(node)), n), place[at]))
+    for start in range(0, len(at_x), COLUMNS):
+        width, both = min(COLUMNS, len(at_x) - start), []
+        for k, row, column in sides:
+            use = (column >= start) & (column < start + width)
+            cells = np.zeros((k, width), np.float32)
+            cells[row[use], column[use] - start] = 1
+            both.append(cells)
+        common += both[0] @ both[1].T
+    shared = common.astype(np.int64)
+    either = x[2].astype(np.int64)[:, None] + y[2].astype(np.int64)[None, :] - shared
+    return 100 * shared >= percent * either
+
+
+def compared(blocks: DataFrame, pairs: DataFrame, percent: int, kind: str, of_links) -> DataFrame:
+    """``of_links`` of the links inside each block and between those of ``pairs``; columns of longs as ``kind`` names them."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for one, two in zip(batch.column("of_x"), batch.column("of_y"), strict=True):
+                x = unpacked(one.as_py())
+                y = unpacked(two.as_py()) if two.is_valid else x
+                hit = linked(x, y, percent)
+                if y is x:
+                    hit &= np.tri(len(hit), k=-1, dtype=bool).T
+                columns = of_links(x, y, hit)
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=[c.split()[0] for c in kind.split(", ")])
+
+    of = [blocks.select("label", F.col("block").alias(c), F.col("data").alias(f"of_{c}")) for c in ("x", "y")]
+    inner = blocks.select(F.col("data").alias("of_x"), F.lit(None).cast("binary").alias("of_y"))
+    outer = pairs.join(of[0], ["label", "x"]).join(of[1], ["label", "y"]).select("of_x", "of_y")
+    return inner.unionByName(outer).mapInArrow(compare, kind)
+
+
+def _numbers(x: list[np.ndarray], y: list[np.ndarray], hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes of both blocks and the rows that each links to in the other."""
+    return np.concatenate([x[0], y[0]]), np.concatenate([hit @ y[1], hit.T @ x[1]])
+
+
+def _ends(x: list[np.ndarray], y: list[np.ndarray], hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    a, b = np.nonzero(hit)
+    return np.minimum(x[0][a], y[0][b]), np.maximum(x[0][a], y[0][b])
+
+
+def resolved(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, int]:
+    """Rows with their node; nodes with label, key of the first of it, size and rows; meetings; texts of nodes that meet; buckets."""
     base = keyed(docs)
     count = buckets(text_bytes(docs), 16 << 20)
     profiled = profile(base, size)
@@ -343,12 +461,18 @@ def groups(docs: DataFrame, *, size: int = 5, percent: int = 75) -> DataFrame:
     labels = components(links)
 
     own = F.struct("k_id", "k_text")
-    smallest = rows.where("node is not null").groupBy("node").agg(F.min(own).alias("least")).join(labels, "node", "left")
+    smallest = rows.where("node is not null").groupBy("node").agg(F.min(own).alias("least"), F.min("n").alias("n"), F.count("*").alias("copies")).join(labels, "node", "left")
     smallest = written(smallest.withColumn("label", F.coalesce("label", "node")), "smallest")
     per_label = written(smallest.groupBy("label").agg(F.min("least").alias("first")), "first")
-    of_node = written(smallest.join(per_label, "label").select("node", "first"), "of_node")
-    return rows.join(of_node, "node", "left").select(
-        "doc_id", "k_id", "k_text", "n", F.coalesce("first", own).alias("first")
+    of_node = written(smallest.join(per_label, "label").select("node", "label", "first", "n", "copies"), "of_node")
+    return rows, of_node, met, texts, count
+
+
+def groups(docs: DataFrame, *, size: int = 5, percent: int = 75) -> DataFrame:
+    """Per document its key, the size of its set ``n``, and the key of the ``first`` document that links lead to."""
+    rows, of_node, *_ = resolved(docs, size, percent)
+    return rows.join(of_node.select("node", "first"), "node", "left").select(
+        "doc_id", "k_id", "k_text", "n", F.coalesce("first", F.struct("k_id", "k_text")).alias("first")
     )
 
 
@@ -360,6 +484,35 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 75) -> Dat
     )
 
 
+def link_numbers(docs: DataFrame, *, size: int = 5, percent: int = 75) -> DataFrame:
+    """``near_duplicates`` and ``n_links``: the other rows whose sets reach the threshold with the row's own, copies included."""
+    rows, of_node, met, texts, count = resolved(docs, size, percent)
+    placed = written(placed_sets(of_node, texts, count), "placed")
+    pairs = block_pairs(met, placed, percent)
+    parts = compared(packed_sets(placed, size), pairs, percent, "node long, links long", _numbers)
+    links = written(parts.groupBy("node").agg(F.sum("links").alias("links")), "links")
+    number = F.coalesce("links", F.lit(0)) + F.col("copies") - 1
+    of_node = written(of_node.join(links, "node", "left").select("node", "first", number.alias("n_links")), "of_node")
+    component = F.coalesce("first", F.struct("k_id", "k_text"))["k_id"]
+    return rows.join(of_node, "node", "left").select(
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        F.when(component != NULL_ID, component).alias("component_id"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+    )
+
+
+def link_pairs(docs: DataFrame, *, size: int = 5, percent: int = 75) -> tuple[DataFrame, DataFrame]:
+    """All links: rows (``doc_id``, ``node``) and every pair ``a < b`` of different nodes that reach the threshold, once.
+
+    The pairs of a group grow with the square of its different sets.
+    """
+    rows, of_node, met, texts, count = resolved(docs, size, percent)
+    placed = written(placed_sets(of_node, texts, count), "placed")
+    pairs = block_pairs(met, placed, percent)
+    return rows.select("doc_id", "node"), compared(packed_sets(placed, size), pairs, percent, "a long, b long", _ends)
+
+
 def first_of_groups(docs: DataFrame, *, size: int = 5, percent: int = 75) -> DataFrame:
     """The rows of ``docs``, all columns, that come first in their group: smallest id, then hash of the text.
 
@@ -391,3 +544,8 @@ reach(doc_id, to_id) as (
 select d.doc_id, cast(coalesce(n, 0) as bigint) as n_shingles, c.component_id
 from d left join n using (doc_id) join (select doc_id, min(to_id) as component_id from reach group by doc_id) c using (doc_id)
 """
+
+ORACLE_LINKS = (
+    ORACLE.replace("c.component_id\nfrom", "c.component_id, cast(coalesce(l.n_links, 0) as bigint) as n_links\nfrom")
+    + "left join (select a, count(*) as n_links from link group by a) l on l.a = d.doc_id\n"
+)

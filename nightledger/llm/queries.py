@@ -54,6 +54,10 @@ def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.near_duplicates(_table(spark, folder, "documents"))
 
 
+def op9_jaccard_links(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.link_numbers(_table(spark, folder, "documents"))
+
+
 def op10_license_notices(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.license_notices(_table(spark, folder, "documents"))
 
@@ -83,3 +87,8 @@ def oracle_sql() -> dict[str, str]:
         "op6_decontamination": winnow.ORACLE,
         "op9_jaccard_join": jaccard_join.ORACLE,
     }
+
+
+def with_links() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]]:
+    """Query and SQL of 9 with the number of links, which the columns of op9_jaccard_join leave out."""
+    return {"op9_jaccard_links": (op9_jaccard_links, jaccard_join.ORACLE_LINKS)}

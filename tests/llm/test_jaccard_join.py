@@ -3,8 +3,10 @@ import re
 
 import numpy as np
 
-from nightledger.llm import jaccard_join
+from nightledger.llm import jaccard_join, queries
 from tests.llm.fixtures import EMPTY, PROSE, documents, odd_rows
+from tests.llm.test_queries import FOLDER
+from tests.oracle_check import compare, connect
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -100,3 +102,48 @@ def test_one_common_shingle_makes_no_square(spark):
 
 def test_empty_table(spark):
     assert jaccard_join.near_duplicates(spark.createDataFrame([], EMPTY)).count() == 0
+
+
+def near_rows(draw):
+    """Groups of near copies, edits in chains, copies, and a template that many share."""
+    rows = odd_rows()
+    for family, members in ((0, 40), (1, 7), (2, 2)):
+        base = [f"f{family}w{j}" for j in range(120)]
+        rows += [(1000 + 100 * family + k, edited(draw, base, draw.randint(0, 4))) for k in range(members)]
+    rows += [(3000 + k, " ".join(f"c{j}" for j in range(4 * k, 4 * k + 80 + k))) for k in range(10)]
+    return rows + [(4000 + k, edited(random.Random(k // 3), [f"f0w{j}" for j in range(120)], 2)) for k in range(12)]
+
+
+def linked_to(rows, percent=75):
+    docs = sets(rows)
+    near = [[i != j and bool(a) and 100 * len(a & b) >= percent * len(a | b) for j, (_, b) in enumerate(docs)] for i, (_, a) in enumerate(docs)]
+    return sorted((str(i), sum(x)) for (i, _), x in zip(docs, near, strict=True))
+
+
+def test_number_of_links_equals_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK_SETS", 5)
+    rows = near_rows(random.Random(8))
+    made = jaccard_join.link_numbers(documents(spark, rows)).collect()
+    assert sorted((str(r.doc_id), r.n_links) for r in made) == linked_to(rows)
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in made) == brute(rows)
+
+
+def test_pairs_are_all_and_once(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK_SETS", 5)
+    rows = near_rows(random.Random(9))
+    nodes, pairs = jaccard_join.link_pairs(documents(spark, rows))
+    pairs = [tuple(r) for r in pairs.collect()]
+    assert len(pairs) == len(set(pairs)) and all(a < b for a, b in pairs)
+    apart = {frozenset(s) for _, s in sets(rows)} - {frozenset()}
+    both = sum(100 * len(a & b) >= 75 * len(a | b) for a in apart for b in apart if a != b)
+    assert 2 * len(pairs) == both
+    assert {x for p in pairs for x in p} <= {r.node for r in nodes.collect()}
+
+
+def test_links_match_sql(spark):
+    query, sql = queries.with_links()["op9_jaccard_links"]
+    assert compare("op9_jaccard_links", query, sql, spark, FOLDER, connect(FOLDER)) is None
+
+
+def test_links_of_an_empty_table(spark):
+    assert jaccard_join.link_numbers(spark.createDataFrame([], EMPTY)).count() == 0
