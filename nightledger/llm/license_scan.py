@@ -48,10 +48,14 @@ class Notice:
         self.label, self.size, self.edits = label, len(text), edits
         cuts = [round(i * len(text) / (edits + 1)) for i in range(edits + 2)]
         self.seeds = [(text[a:b].encode(), a) for a, b in zip(cuts, cuts[1:], strict=False)]
-        self.pattern = regex.compile(rb"(?b)(?:%b){e<=%d}" % (regex.escape(text, literal_spaces=True).encode(), edits))
+        exact = regex.escape(text, literal_spaces=True).encode()
+        self.patterns = [regex.compile(rb"(?:%b){e<=%d}" % (exact, k)) for k in range(edits + 1)]
 
     def find(self, line: bytes) -> list[tuple[int, int, int]]:
-        """Start, end and edits of the places in ``line``, left to right."""
+        """Start, end and edits of the places in ``line``, left to right.
+
+        Places don't overlap: those with fewer edits go first, of equals the leftmost, and no place is left between them.
+        """
         spans = []
         for seed, offset in self.seeds:
             at = line.find(seed)
@@ -59,15 +63,22 @@ class Notice:
                 spans.append((max(0, at - offset - self.edits), at - offset + self.size + self.edits))
                 at = line.find(seed, at + 1)
         spans.sort()
-        found, end = [], 0
+        found, open_ = [], []
         while spans:
             a, b = spans.pop(0)
             while spans and spans[0][0] <= b:
                 b = max(b, spans.pop(0)[1])
-            for m in self.pattern.finditer(line, max(a, end), min(b, len(line))):
-                found.append((m.start(), m.end(), sum(m.fuzzy_counts)))
-                end = m.end()
-        return found
+            open_.append((a, min(b, len(line))))
+        for pattern in self.patterns:
+            left = []
+            for a, b in open_:
+                for m in pattern.finditer(line, a, b):
+                    found.append((m.start(), m.end(), sum(m.fuzzy_counts)))
+                    left.append((a, m.start()))
+                    a = m.end()
+                left.append((a, b))
+            open_ = [(a, b) for a, b in left if b - a >= self.size - self.edits]
+        return sorted(found)
 
 
 def scan(text: str | None, notices: list[Notice], phrases=PHRASES) -> tuple:

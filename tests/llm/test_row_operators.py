@@ -252,5 +252,53 @@ def test_pigeonhole_seeds_lose_no_match():
         assert len(found) == 1 and found[0][2] <= 2
 
 
+def fewest_edits(notice, line):
+    """Of the whole notice to any part of the line."""
+    row = [0] * (len(line) + 1)
+    for i, x in enumerate(notice, 1):
+        last, row = row, [i]
+        for j, y in enumerate(line, 1):
+            row.append(min(last[j] + 1, row[j - 1] + 1, last[j - 1] + (x != y)))
+    return min(row)
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row = row, [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(last[j] + 1, row[j - 1] + 1, last[j - 1] + (x != y)))
+    return row[-1]
+
+
+def test_an_edited_notice_before_a_better_one_stays():
+    text = "under the terms of the gnu general public license"
+    notice = license_scan.Notice("gpl", text, 4)
+    found = notice.find(f" under the terms of gnu general public license or {text} ".encode())
+    assert [edits for *_, edits in found] == [4, 0] and found[1][:2] == (50, 99)
+
+
+def test_adjacent_notices_leave_no_place_between():
+    draw = random.Random(12)
+    for label, text, most in license_scan.NOTICES:
+        notice = license_scan.Notice(label, text, most)
+        for _ in range(12):
+            parts = []
+            for worse in range(draw.randint(2, 4), 0, -1):
+                letters = list(text)
+                for _ in range(min(most, worse)):
+                    letters[draw.randrange(len(letters))] = draw.choice("qxz")
+                parts.append("".join(letters))
+            line = (" " + draw.choice([" ", " or ", ""]).join(parts) + " ").encode()
+            found = notice.find(line)
+            assert len(found) >= len(parts)
+            ends = [0, *(x for a, b, _ in found for x in (a, b)), len(line)]
+            assert ends == sorted(ends)
+            for a, b, edits in found:
+                assert distance(text.encode(), line[a:b]) == edits <= most
+            for a, b in zip(ends[::2], ends[1::2], strict=True):
+                assert fewest_edits(text.encode(), line[a:b]) > most
+
+
 def test_licenses_of_an_empty_table(spark):
     assert license_scan.license_notices(spark.createDataFrame([], EMPTY)).count() == 0
