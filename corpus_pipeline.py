@@ -1,6 +1,7 @@
 """From raw documents to packed training sequences: five stages, each on all that the one before kept.
 
-1. language: documents go that the network gives no language (no letter, or no score above chance).
+1. language: documents go that the network gives no language (no letter, or no score a fifth above the even share of the
+   languages learned); where no row has a language to learn from, all documents stay.
 2. near_duplicates: of each group of near copies one document stays, that with the smallest id.
 3. decontamination: documents go that hold a window of a benchmark item.
 4. secrets: secrets in texts are replaced, no document goes.
@@ -18,14 +19,20 @@ from pyspark.sql import functions as F
 from nightledger.llm import byte_gru, histogram_packing, jaccard_join, secret_models, winnow
 from nightledger.llm.common import reachable, written
 
-#: A little over the share that chance gives one of four languages.
-MIN_SCORE = 0.3
+#: Least score as a multiple of the even share of the languages.
+OVER_CHANCE = 1.2
+
+
+def least_score(labels: int) -> float:
+    """The score that tells a language among ``labels``; one language alone can't be told from others."""
+    return OVER_CHANCE / labels if labels > 1 else 0.0
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised."""
     reachable(spark)
-    return byte_gru.recognised(docs, byte_gru.train(docs), MIN_SCORE)
+    net = byte_gru.train(docs)
+    return docs if net is None else byte_gru.recognised(docs, net, least_score(len(net.labels)))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

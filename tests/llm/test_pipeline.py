@@ -1,5 +1,7 @@
 import re
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from nightledger.llm.common import written
 from tests.llm import test_jaccard_join, test_secret_models, test_winnow
@@ -23,6 +25,17 @@ def test_language_goes_only_without_one(spark):
     assert rows_of(out) == want
 
 
+def test_least_score_follows_the_number_of_languages():
+    for k in (2, 4, 100):
+        assert 1 / k < corpus_pipeline.least_score(k) < 1.5 / k
+    assert corpus_pipeline.least_score(1) <= 1
+
+
+def test_nothing_goes_where_no_language_is_learned(spark):
+    docs = documents(spark, [(1, PROSE), (2, "one"), (3, None)]).withColumn("lang", F.lit(None).cast("string"))
+    assert rows_of(corpus_pipeline.language(spark, docs, "")) == rows_of(docs)
+
+
 def test_one_of_each_group_stays(spark):
     docs = documents(spark, odd_rows())
     out = corpus_pipeline.near_duplicates(spark, docs, "")
