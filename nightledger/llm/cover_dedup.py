@@ -13,7 +13,8 @@ Hashes travel as packed arrays, one per run of texts and hash bucket, so that a
 run sends one entry for equal hashes of its own and settles the others itself, so however often a passage repeats,
 it brings one entry per run into its bucket.
 
-Anchors carry 32 bits besides their bucket, as step 2 decides; windows carry 64 besides it. Defined results: a null or
+Anchors carry 32 bits besides their bucket, as step 2 decides; windows carry all 64 of their hash, from which their bucket
+follows, and words are not compared. Defined results: a null or
 empty text has no words; a null id counts as the smallest; rows that repeat id and text are one document, and each
 gets its result; texts with equal ids are ordered by a hash of the text; other columns are not looked at.
 """
