@@ -31,26 +31,32 @@ SHARD_ROWS = (1_000, 200_000)
 SHARD_PARTS = 256
 #: Outside of these the two tokenizer libraries may know different Unicode classes.
 _RARE = re.compile(r"[^\x00-ɏ‐-‧€]")
+#: ``tiktoken`` steps back through a run of white space: time goes with its square, and over 300,000 characters its stack ends.
+LONG_RUN = 1_000
+_BLANK_RUN = re.compile(rf"\s{{{LONG_RUN}}}")
 
 
 class Encoder:
     """Token ids of texts as the ``tokenizers`` library gives them for a byte-level BPE file.
 
     ``tiktoken`` reads the same vocabulary and is several times faster, so it does the common texts; those
-    with rare characters or the text of a special token go through ``tokenizers``.
+    with rare characters, very long runs of white space or the text of a special token go through ``tokenizers``.
+    Without ``special`` the texts of special tokens are plain text.
     """
 
-    def __init__(self, name: str):
+    def __init__(self, name: str, special: bool = True):
         import tiktoken
         from tokenizers import Tokenizer
 
+        self.special = special
         self.whole = Tokenizer.from_file(public_tokenizers.path(f"{name}.json"))
+        self.whole.encode_special_tokens = not special
         with open(public_tokenizers.path(f"{name}.tiktoken"), "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.fast = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def ids(self, text: str) -> list[int]:
-        if _RARE.search(text) or "<|" in text:
+        if _RARE.search(text) or self.special and "<|" in text or len(text) >= LONG_RUN and _BLANK_RUN.search(text):
             return self.whole.encode(text, add_special_tokens=False).ids
         return self.fast.encode_ordinary(text)
 

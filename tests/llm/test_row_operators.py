@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from nightledger.llm import byte_gru, histogram_packing, license_scan, nbsvm, quality_rules
 from tests.llm.fixtures import EMPTY, MENU, PROSE, documents, odd_rows
@@ -199,6 +200,19 @@ def test_both_tokenizer_libraries_agree():
             assert encoder.fast.encode_ordinary(t) == encoder.whole.encode(t, add_special_tokens=False).ids
 
 
+def test_very_long_runs_are_packed_like_any_text(spark):
+    """White space on which the fast library ends its stack, or takes the square of its length."""
+    rows = [(1, " " * 10_000_000), (2, "\n" * 10_000_000), (3, "a" * 5_000_000), (4, "x" + " " * 999 + "y" + " " * 1000 + "\u00a0" * 1000)]
+    got = histogram_packing.pieces(documents(spark, rows)).groupBy("doc_id").agg(F.sum("length"), F.sum("ids_crc32")).collect()
+    encoder = histogram_packing.Encoder("byte_bpe_50k").whole
+    want = []
+    for i, t in rows:
+        ids = np.array([*encoder.encode(t, add_special_tokens=False).ids, 2], "<u4")
+        first = len(ids) % 1024 or 1024
+        want.append((i, len(ids), sum(zlib.crc32(x) for x in [ids[:first], *np.split(ids[first:], range(1024, len(ids) - first, 1024))] if len(x))))
+    assert sorted(map(tuple, got)) == want
+
+
 def test_packing_an_empty_table(spark):
     assert histogram_packing.pack(spark.createDataFrame([], EMPTY)).count() == 0
 
