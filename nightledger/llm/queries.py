@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nightledger.llm import byte_gru, cover_dedup, histogram_packing, jaccard_join, license_scan, nbsvm, quality_rules, secret_models, warc_index, winnow
+from nightledger.llm import byte_gru, cover_dedup, histogram_packing, jaccard_join, license_scan, nbsvm, quality_rules, secret_models, token_alignment, warc_index, winnow
 from nightledger.llm.common import reachable
 
 
@@ -62,6 +62,10 @@ def op10_license_notices(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.license_notices(_table(spark, folder, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return token_alignment.alignments(_table(spark, folder, "documents"), with_groups=False)
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Query name to a function of (session, folder of the parquet tables)."""
     return {
@@ -75,6 +79,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_best_fit_packing": op8_best_fit_packing,
         "op9_jaccard_join": op9_jaccard_join,
         "op10_license_notices": op10_license_notices,
+        "op11_token_alignment": op11_token_alignment,
     }
 
 

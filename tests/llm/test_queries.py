@@ -21,6 +21,7 @@ COLUMNS = {
     "op8_best_fit_packing": "doc_id piece start length ids_crc32 sequence_id offset",
     "op9_jaccard_join": "doc_id n_shingles component_id",
     "op10_license_notices": "doc_id n_words n_base first_word last_word base_labels labels score",
+    "op11_token_alignment": "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256",
 }
 
 
