@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +32,7 @@ from nightledger.llm.histogram_packing import Encoder
 RUN_BYTES = 8 << 20
 #: A group of more links than this is reduced to its distinct ids before its links are made.
 WIDE = 1 << 16
-_PIECE_BITS = 17  # ids of B are under 2**17, ids of A under 2**31
-COLUMNS = ("n_a", "n_b", "n_groups", "n_links")
+_PIECE_BITS, _PAIR_BITS = 17, 37  # ids of B and of A are under 2**17 and 2**20
 
 
 class Pair:
@@ -51,8 +49,8 @@ class Pair:
         self.b = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(f"{second}.model"))
         pieces = [(self.b.id_to_piece(i), self.b.is_byte(i)) for i in range(self.b.vocab_size())]
         self.bytes_b = [bytes([int(x[3:5], 16)]) if is_byte else x.replace("▁", " ").encode() for x, is_byte in pieces]
-        self.long_a, self.long_b = ([len(x) for x in own] for own in (self.bytes_a, self.bytes_b))
-        self.said = [str(i) for i in range(max(len(self.bytes_a), len(self.bytes_b)))]
+        self.sizes = [np.array([len(x) for x in own], np.int64) for own in (self.bytes_a, self.bytes_b)]
+        self.said = [f"{i}{mark}" for i in range(max(len(self.bytes_a), len(self.bytes_b))) for mark in ",|;"]
 
     def encode(self, texts: list[str | None]) -> Iterator[tuple[list[int], list[int]]]:
         """Ids of both for every text; none where the bytes of either aren't those of the text."""
@@ -67,23 +65,28 @@ class Pair:
             yield (a, b) if same else ([], [])
 
 
-def shared_ends(long_a: list[int], long_b: list[int]) -> tuple[list[int], list[int]]:
+def shared_ends(ends_a: list[int], ends_b: list[int]) -> tuple[list[int], list[int]]:
     """How many tokens of either list lie before each end that both have, in the order of the ends."""
-    at_a = dict(zip(accumulate(long_a), range(1, len(long_a) + 1)))
-    at_b = dict(zip(accumulate(long_b), range(1, len(long_b) + 1)))
+    at_a, at_b = (dict(zip(x, range(1, len(x) + 1))) for x in (ends_a, ends_b))
     ends = sorted(at_a.keys() & at_b.keys())
     return list(map(at_a.__getitem__, ends)), list(map(at_b.__getitem__, ends))
 
 
-def listed(a: list[int], b: list[int], cut_a: list[int], cut_b: list[int], said: list[str]) -> str:
-    """The groups as text: ids of A and of B in decimal, a bar between them, semicolons between groups."""
-    name_a, name_b = [said[x] for x in a], [said[x] for x in b]
-    i = j = 0
-    out = []
-    for x, y in zip(cut_a, cut_b, strict=True):
-        out.append(f"{name_a[i]}|{name_b[j]}" if x - i == 1 == y - j else f"{','.join(name_a[i:x])}|{','.join(name_b[j:y])}")
-        i, j = x, y
-    return ";".join(out)
+def spelled(ids: tuple[np.ndarray, np.ndarray], cuts: tuple[np.ndarray, np.ndarray]) -> list[int]:
+    """The ids of all groups in their order, as places in ``Pair.said``.
+
+    A comma stands between ids of one list, a bar between the lists, a semicolon after each group.
+    """
+    follow, own = [], []
+    for k, (x, end) in enumerate(zip(ids, cuts, strict=True)):
+        last = np.zeros(len(x), np.int64)
+        last[end - 1] = k + 1
+        follow.append(x * 3 + last)
+        own.append(np.repeat(np.arange(len(end)), np.diff(end, prepend=0)))
+    out = np.empty(len(ids[0]) + len(ids[1]), np.int64)
+    out[np.arange(len(ids[0])) + np.concatenate([[0], cuts[1]])[own[0]]] = follow[0]
+    out[np.arange(len(ids[1])) + cuts[0][own[1]]] = follow[1]
+    return out.tolist()
 
 
 def links(ids: tuple[np.ndarray, np.ndarray], cuts: tuple[np.ndarray, np.ndarray], doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -108,13 +111,13 @@ def links(ids: tuple[np.ndarray, np.ndarray], cuts: tuple[np.ndarray, np.ndarray
     a = ids[0][start_a[group] + step // wide_b[group]]
     b = ids[1][start_b[group] + step % wide_b[group]]
     parts.append((doc[group], a << _PIECE_BITS | b, np.ones(len(group), np.int64)))
-    of, key, times = (np.concatenate(x) for x in zip(*parts, strict=True))
-    order = np.lexsort((key, of))
-    of, key, times = of[order], key[order], times[order]
-    lead = np.ones(len(of), bool)
-    lead[1:] = (of[1:] != of[:-1]) | (key[1:] != key[:-1])
-    first = np.flatnonzero(lead)
-    return of[first], key[first], np.add.reduceat(times, first) if len(first) else times
+    if len(parts) == 1:  # nothing but single links
+        whole, times = np.unique(parts[0][0] << _PAIR_BITS | parts[0][1], return_counts=True)
+        return whole >> _PAIR_BITS, whole & ((1 << _PAIR_BITS) - 1), times
+    whole, place = np.unique(np.concatenate([of << _PAIR_BITS | key for of, key, _ in parts]), return_inverse=True)
+    times = np.zeros(len(whole), np.int64)
+    np.add.at(times, place, np.concatenate([n for _, _, n in parts]))
+    return whole >> _PAIR_BITS, whole & ((1 << _PAIR_BITS) - 1), times
 
 
 class Run:
@@ -132,21 +135,29 @@ class Run:
 
     def add(self, pair: Pair, doc_ids: list, texts: list, with_groups: bool) -> None:
         numbers = np.zeros((4, len(texts)), np.int64)
-        ids_a, ids_b, cuts_a, cuts_b, doc = [], [], [], [], []
-        for k, (a, b) in enumerate(pair.encode(texts)):
-            cut_a, cut_b = shared_ends([pair.long_a[x] for x in a], [pair.long_b[x] for x in b])
-            text = listed(a, b, cut_a, cut_b, pair.said)
-            self.digests.append(hashlib.sha256(text.encode()).hexdigest() if a else "")
+        ids, cuts = ([], []), ([], [])
+        for k, both in enumerate(pair.encode(texts)):
+            for i in (0, 1):
+                ids[i].extend(both[i])
+                numbers[i, k] = len(both[i])
+        whole = tuple(np.array(x, np.int64) for x in ids)
+        ends = [np.cumsum(size[x]).tolist() for size, x in zip(pair.sizes, whole, strict=True)]
+        upto = [np.concatenate([[0], np.cumsum(n)]).tolist() for n in numbers[:2]]
+        for k in range(len(texts)):
+            (a, b), (c, d) = (x[k : k + 2] for x in upto)
+            at = shared_ends(ends[0][a:b], ends[1][c:d])
+            numbers[2, k] = len(at[0])
+            for i, first in ((0, a), (1, c)):
+                cuts[i].append(np.array(at[i], np.int64) + first)
+        cuts = tuple(np.concatenate(x) for x in cuts)
+        said = spelled(whole, cuts)
+        last = (np.array(upto[0]) + np.array(upto[1])).tolist()
+        for i, j in zip(last, last[1:], strict=False):
+            text = "".join(map(pair.said.__getitem__, said[i:j]))[:-1]
+            self.digests.append(hashlib.sha256(text.encode()).hexdigest() if text else "")
             if with_groups:
                 self.groups.append(text)
-            numbers[:3, k] = len(a), len(b), len(cut_a)
-            cuts_a.append(np.array(cut_a, np.int64) + len(ids_a))
-            cuts_b.append(np.array(cut_b, np.int64) + len(ids_b))
-            ids_a += a
-            ids_b += b
-            doc.append(len(cut_a))
-        whole = (np.array(ids_a, np.int64), np.array(ids_b, np.int64))
-        of, key, times = links(whole, (np.concatenate(cuts_a), np.concatenate(cuts_b)), np.repeat(np.arange(len(doc)), doc))
+        of, key, times = links(whole, cuts, np.repeat(np.arange(len(texts)), numbers[2]))
         np.add.at(numbers[3], of, times)
         self.parts.append((of + len(self.ids), key, times))
         self.ids += doc_ids
@@ -228,7 +239,7 @@ def weighed(stored: DataFrame, pairs: DataFrame, counts: DataFrame) -> DataFrame
 def alignments(docs: DataFrame, *, first: str = "byte_bpe_50k", second: str = "piece_bpe_32k", with_groups: bool = True) -> DataFrame:
     """One row per document: tokens, groups, links, links that are the commonest of their A id, and the sum of their counts.
 
-    ``groups_sha256`` is the digest of the groups as ``listed`` writes them; with ``with_groups`` that text comes too.
+    ``groups_sha256`` is the digest of the groups as ``spelled`` writes them; with ``with_groups`` that text comes too.
     """
     stored = runs(docs, first, second, with_groups)
     pairs = pairs_of(stored)
