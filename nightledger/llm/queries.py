@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nightledger.llm import byte_gru, cover_dedup, histogram_packing, jaccard_join, license_scan, nbsvm, quality_rules, secret_models, token_alignment, warc_index, winnow
+from nightledger.llm import byte_gru, cover_dedup, histogram_packing, jaccard_join, license_scan, max_sketch, nbsvm, quality_rules, secret_models, token_alignment, warc_index, winnow
 from nightledger.llm.common import reachable
 
 
@@ -66,6 +66,10 @@ def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return token_alignment.alignments(_table(spark, folder, "documents"), with_groups=False)
 
 
+def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return max_sketch.search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Query name to a function of (session, folder of the parquet tables)."""
     return {
@@ -80,6 +84,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_jaccard_join": op9_jaccard_join,
         "op10_license_notices": op10_license_notices,
         "op11_token_alignment": op11_token_alignment,
+        "op12_lexical_search": op12_lexical_search,
     }
 
 
@@ -91,6 +96,7 @@ def oracle_sql() -> dict[str, str]:
         "op4_passage_dedup": cover_dedup.ORACLE,
         "op6_decontamination": winnow.ORACLE,
         "op9_jaccard_join": jaccard_join.ORACLE,
+        "op12_lexical_search": max_sketch.ORACLE,
     }
 
 
