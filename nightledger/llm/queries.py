@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nightledger.llm import byte_gru, cover_dedup, histogram_packing, jaccard_join, license_scan, max_sketch, nbsvm, quality_rules, secret_models, token_alignment, warc_index, winnow
+from nightledger.llm import byte_gru, cover_dedup, cover_tree, histogram_packing, jaccard_join, license_scan, max_sketch, nbsvm, quality_rules, secret_models, token_alignment, warc_index, winnow
 from nightledger.llm.common import reachable
 
 
@@ -70,6 +70,10 @@ def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
     return max_sketch.search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
+def op13_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return cover_tree.near_vectors(_table(spark, folder, "embeddings"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Query name to a function of (session, folder of the parquet tables)."""
     return {
@@ -85,6 +89,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_license_notices": op10_license_notices,
         "op11_token_alignment": op11_token_alignment,
         "op12_lexical_search": op12_lexical_search,
+        "op13_near_vectors": op13_near_vectors,
     }
 
 
@@ -97,6 +102,7 @@ def oracle_sql() -> dict[str, str]:
         "op6_decontamination": winnow.ORACLE,
         "op9_jaccard_join": jaccard_join.ORACLE,
         "op12_lexical_search": max_sketch.ORACLE,
+        "op13_near_vectors": cover_tree.ORACLE,
     }
 
 

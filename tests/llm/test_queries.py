@@ -23,6 +23,7 @@ COLUMNS = {
     "op10_license_notices": "doc_id n_words n_base first_word last_word base_labels labels score",
     "op11_token_alignment": "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256",
     "op12_lexical_search": "item_id rank doc_id score",
+    "op13_near_vectors": "vec_id n_links component_id kept",
 }
 
 
