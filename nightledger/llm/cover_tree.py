@@ -127,8 +127,16 @@ class Side:
         self.weight = total[self.end] - total[self.start]
         self.added = np.zeros(len(node) + 1, np.int64)  # links, as differences along the vectors
 
-    def below(self, i: int) -> np.ndarray:
-        return np.arange(self.first[i], self.last[i]) if self.last[i] > self.first[i] else np.array([i])
+    def below(self, nodes: np.ndarray) -> np.ndarray:
+        """The children of all these nodes, single vectors as they are."""
+        n = self.last[nodes] - self.first[nodes]
+        many = nodes[n > 0]
+        n = n[n > 0]
+        step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        return np.concatenate([nodes[self.single(nodes)], np.repeat(self.first[many], n) + step])
+
+    def single(self, nodes: np.ndarray) -> np.ndarray:
+        return self.end[nodes] - self.start[nodes] == 1
 
     def add(self, nodes: np.ndarray, links: np.ndarray) -> None:
         np.add.at(self.added, self.start[nodes], links)
@@ -160,47 +168,52 @@ def walk(x: Side, y: Side, least: float, reach: float) -> np.ndarray:
     same = y is x
     shift = 0 if same else len(x.node)
     label = np.arange(len(x.node) + (0 if same else len(y.node)))
-    stack = [(0, 0)] if len(x.node) and len(y.node) else []
     whole_x, whole_y = np.zeros(len(x.start), bool), np.zeros(len(y.start), bool)
+    root = np.zeros(1, np.int64)
+    stack = [(root, root, same)] if len(x.node) and len(y.node) else []  # all pairs of two sets of nodes, or what one node holds
 
     def settle(one: Side, whole: np.ndarray, nodes: np.ndarray, at: int) -> None:
         """All vectors of ``nodes`` have one component."""
-        fresh = nodes[~whole[nodes] & (one.end[nodes] - one.start[nodes] > 1)]
+        fresh = nodes[~whole[nodes] & ~one.single(nodes)]
         whole[fresh] = True
         n = one.end[fresh] - one.start[fresh]
         step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         united(label, np.repeat(one.start[fresh], n) + step + at, np.repeat(one.start[fresh], n) + at)
 
     while stack:
-        i, j = stack.pop()
-        inside = same and i == j
-        if inside and 2 * x.radius[i] <= reach - SLACK:  # links within the node
-            x.add(np.array([i]), x.weight[[i]])
-            a, b = x.start[i], x.end[i]
+        ours, others, inside = stack.pop()
+        if inside and 2 * x.radius[ours[0]] <= reach - SLACK:  # all links within the node
+            a, b = x.start[ours[0]], x.end[ours[0]]
+            x.add(ours, x.weight[ours])
             x.added[a:b] -= x.copies[a:b]
             x.added[a + 1 : b + 1] += x.copies[a:b]
-            settle(x, whole_x, np.array([i]), 0)
+            settle(x, whole_x, ours, 0)
             continue
-        all_a, others = x.below(i), y.below(j)
-        for part in range(0, len(all_a), _ROWS):
-            some = all_a[part : part + _ROWS]
+        ours, others = x.below(ours), y.below(others)
+        if inside:
+            stack += [(ours[[k]], ours[[k]], True) for k in np.flatnonzero(~x.single(ours))]
+        single_y = y.single(others)
+        for part in range(0, len(ours), _ROWS):
+            some = ours[part : part + _ROWS]
+            single_x = x.single(some)
             d = apart(x.u[x.start[some]], y.u[y.start[others]])
             span = x.radius[some][:, None] + y.radius[others][None, :]
             near = d - span <= reach + SLACK
             if inside:
                 near &= some[:, None] < others[None, :]
-                stack += [(k, k) for k in some[x.end[some] - x.start[some] > 1].tolist()]
             all_in = near & (d + span <= reach - SLACK)
-            row, col = np.nonzero(near & ~all_in)
-            a, b = some[row], others[col]
-            single = (x.end[a] - x.start[a] == 1) & (y.end[b] - y.start[b] == 1)
-            for p, q in zip(a[~single].tolist(), b[~single].tolist()):
-                stack.append((p, q))
-            row, col = row[single], col[single]
-            one, two = x.x[x.start[a[single]]], y.x[y.start[b[single]]]
-            size = np.sqrt(np.einsum("ij,ij->i", one, one)) * np.sqrt(np.einsum("ij,ij->i", two, two))
-            links = np.einsum("ij,ij->i", one, two) / size >= least
-            all_in[row[links], col[links]] = True
+            near &= ~all_in
+            for k in np.flatnonzero(~single_x & near.any(axis=1)):
+                stack.append((some[[k]], others[near[k]], False))
+            near &= single_x[:, None]
+            for k in np.flatnonzero(~single_y & near.any(axis=0)):
+                stack.append((some[near[:, k]], others[[k]], False))
+            row, col = np.nonzero(near & single_y[None, :])
+            if len(row):
+                one, two = x.x[x.start[some[row]]], y.x[y.start[others[col]]]
+                size = np.sqrt(np.einsum("ij,ij->i", one, one)) * np.sqrt(np.einsum("ij,ij->i", two, two))
+                links = np.einsum("ij,ij->i", one, two) / size >= least
+                all_in[row[links], col[links]] = True
             row, col = np.nonzero(all_in)
             if len(row):
                 x.add(some, all_in @ y.weight[others])
