@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,28 +11,32 @@ from nightledger.functions.ratios import safe_ratio
 from nightledger.operators.ordering import running_totals
 
 
-def _cumulative(scored: DataFrame, label: str, score: str) -> DataFrame:
-    """Positives and negatives at or above every distinct score, with both totals.
+def _cumulative(scored: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
+    """Positives and negatives at or above every distinct score, with both totals; with ``by``, per group.
 
     Equal scores are merged before the shuffle; scores may still be as many as rows.
     """
     per_score = (
         scored.where(F.col(score).isNotNull())
-        .groupBy(F.col(score).cast("double").alias("threshold"))
+        .groupBy(*by, F.col(score).cast("double").alias("threshold"))
         .agg(
             F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).alias("pos"),
             F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).alias("neg"),
         )
     )
-    return running_totals(per_score, "threshold", ["pos", "neg"], descending=True).withColumnsRenamed(
+    return running_totals(per_score, "threshold", ["pos", "neg"], descending=True, within=by).withColumnsRenamed(
         {"running_pos": "tp", "running_neg": "fp", "total_pos": "positives", "total_neg": "negatives"}
     )
 
 
-def pr_curve(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """Precision and recall when every row at or above the threshold is called positive."""
+def pr_curve(scored: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = ()) -> DataFrame:
+    """Precision and recall when every row at or above the threshold is called positive.
+
+    With ``by``, columns that name a run, the curves of all runs come from the same pass: one order over (run, score).
+    """
     c = F.col
-    return _cumulative(scored, label, score).select(
+    return _cumulative(scored, label, score, by).select(
+        *by,
         "threshold",
         "tp",
         "fp",
@@ -40,16 +46,17 @@ def pr_curve(scored: DataFrame, label: str = "label", score: str = "score") -> D
 
 
 def recall_at_precision(
-    scored: DataFrame, floor: float = 0.85, label: str = "label", score: str = "score"
+    scored: DataFrame, floor: float = 0.85, label: str = "label", score: str = "score", by: Sequence[str] = ()
 ) -> DataFrame:
-    """Greatest recall with at least this precision, and what is missing to 1."""
+    """Greatest recall with at least this precision, and what is missing to 1; with ``by``, a row per run."""
     reached = F.coalesce(
         F.max(F.when(F.col("precision") >= floor, F.col("recall"))), F.lit(0.0)
     )
     return (
-        pr_curve(scored, label, score)
+        pr_curve(scored, label, score, by)
+        .groupBy(*by)
         .agg(reached.alias("recall"))
-        .select("recall", (1.0 - F.col("recall")).alias("unrecall"))
+        .select(*by, "recall", (1.0 - F.col("recall")).alias("unrecall"))
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 from itertools import product
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from nightledger.operators.evaluate import recall_at_precision
 from nightledger.operators.model import score, train_gbt
 from nightledger.session import cut_lineage
-from nightledger.sources.files import GRID_LOG, append_grid_log, read_grid_log
+from nightledger.sources.files import GRID_LOG, log_run, read_runs
 
 PARAMETERS = ("depth", "colsample", "subsample", "learning_rate")
 
@@ -59,6 +60,11 @@ def remaining(grid: DataFrame, log: DataFrame) -> DataFrame:
     return _keyed(grid).join(_keyed(log).select(*keys), keys, "left_anti").select(*PARAMETERS)
 
 
+def run_name(combo: Mapping) -> str:
+    """A run's name in a log: its parameters as whole numbers, so that equal settings have one name."""
+    return "-".join(str(round(float(combo[p]) * 10_000)) for p in PARAMETERS)
+
+
 def grid_search(
     rows: DataFrame,
     columns: Sequence[str],
@@ -71,8 +77,9 @@ def grid_search(
 ) -> DataFrame:
     """Fit, score and measure each combination; fits are distributed, a few run at a time.
 
-    ``rows`` have their ``slice``: fits use train, stop by validation and are measured on test. With ``log``, a
-    path, runs that it holds are left out and each run is appended as it finishes, so a sweep that broke off goes on.
+    ``rows`` have their ``slice``: fits use train, stop by validation and are measured on test. All runs are measured
+    together, by one pass over the scores of all of them. With ``log``, a path, runs that it holds are left out and each run
+    is measured and logged as it finishes, so a sweep that broke off goes on; a run that fails is raised after the others.
 
     Column sampling per tree has no counterpart, so ``colsample`` sets the share of
     features tried at each node. The rows are written out first, otherwise every fit
@@ -80,12 +87,12 @@ def grid_search(
     """
     spark = rows.sparkSession
     rows = cut_lineage(rows.select(*columns, label, "slice"))
-    fitting = rows.where("slice in ('train', 'validation')")
-    if log is not None and logged(spark, log):
-        grid = remaining(grid, read_grid_log(spark, log))
+    fitting, test = rows.where("slice in ('train', 'validation')"), rows.where("slice = 'test'")
+    if log is not None:
+        grid = remaining(grid, read_runs(spark, log))
     combos = [r.asDict() for r in grid.orderBy(*PARAMETERS).collect()]
 
-    def run(combo: Mapping) -> tuple:
+    def scored(combo: Mapping) -> DataFrame:
         settings = {
             **(params or {}),
             "maxDepth": int(combo["depth"]),
@@ -94,22 +101,31 @@ def grid_search(
             "featureSubsetStrategy": str(float(combo["colsample"])),
         }
         model = train_gbt(fitting, columns, label, settings, held_out=F.col("slice") == "validation")
-        scored = score(model, rows.where("slice = 'test'"), columns, keep=[label])
-        found = recall_at_precision(scored, floor, label=label).first()["recall"]
+        return score(model, test, columns, keep=[label])
+
+    def logged(combo: Mapping) -> None:
+        found = recall_at_precision(scored(combo), floor, label=label).first()["recall"]
         row = (*[combo[p] for p in PARAMETERS], float(found))
-        if log is not None:
-            append_grid_log(spark.createDataFrame([row], GRID_LOG), log)
-        return row
+        log_run(spark.createDataFrame([row], GRID_LOG), log, run_name(combo))
 
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        made = list(pool.map(run, combos))
-    return spark.createDataFrame(made, GRID_LOG) if log is None else read_grid_log(spark, log)
-
-
-def logged(spark: SparkSession, path: str) -> bool:
-    """Whether a log exists, by the file system that the path names."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+        tried = [pool.submit(scored if log is None else logged, combo) for combo in combos]
+    failed = [(combo, run.exception()) for combo, run in zip(combos, tried, strict=True) if run.exception()]
+    if failed:
+        raise RuntimeError(f"{len(failed)} of {len(combos)} runs failed, the first with {failed[0][0]}") from failed[0][1]
+    if log is not None:
+        return read_runs(spark, log)
+    return measured(combos, [run.result() for run in tried], floor, label, spark)
+
+
+def measured(combos: Sequence[Mapping], scored: Sequence[DataFrame], floor: float, label: str, spark: SparkSession) -> DataFrame:
+    """The log lines of runs from their scored rows, all in one pass; a run without any has recall 0."""
+    if not combos:
+        return spark.createDataFrame([], GRID_LOG)
+    every = reduce(DataFrame.unionByName, (df.withColumn("run", F.lit(i)) for i, df in enumerate(scored)))
+    found = recall_at_precision(every, floor, label=label, by=["run"])
+    named = spark.createDataFrame([(i, *[c[p] for p in PARAMETERS]) for i, c in enumerate(combos)], f"run int, {GRID_LOG.rpartition(',')[0]}")
+    return named.join(found, "run", "left").select(*PARAMETERS, F.coalesce("recall", F.lit(0.0)).alias("recall"))
 
 
 def best_by(log: DataFrame, parameter: str) -> DataFrame:

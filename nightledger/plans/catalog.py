@@ -372,6 +372,13 @@ def _evaluation(step: Callable[..., DataFrame], **options) -> Query:
     return query
 
 
+def _run_evaluation(step: Callable[..., DataFrame], **options) -> Query:
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        return _rounded(step(src.scored_runs(spark, folder), by=["run"], **options))
+
+    return query
+
+
 MODEL_COLUMNS = (
     "ordroomnum",
     "dayofweek",
@@ -543,6 +550,8 @@ def registered() -> dict[str, Query]:
         "temporal_split": temporal_split,
         "pr_curve": _evaluation(evaluate.pr_curve),
         "recall_at_precision": _evaluation(evaluate.recall_at_precision, floor=0.7),
+        "pr_curve_by_run": _run_evaluation(evaluate.pr_curve),
+        "recall_by_run": _run_evaluation(evaluate.recall_at_precision, floor=0.7),
         "pr_table": _evaluation(evaluate.pr_table),
         "confusion": _evaluation(evaluate.confusion),
         "class_report": _evaluation(evaluate.class_report),

@@ -286,6 +286,14 @@ def scored(spark: SparkSession, folder: str) -> DataFrame:
     return docs.join(marks, "doc_id")
 
 
+def scored_runs(spark: SparkSession, folder: str, runs: int = 20) -> DataFrame:
+    """The same with another score for each of some runs."""
+    docs = table(spark, folder, "documents").select("doc_id", "n_chars")
+    marks = table(spark, folder, "labels").select("doc_id", F.col("quality").alias("label"))
+    each = docs.join(marks, "doc_id").withColumn("run", F.explode(F.sequence(F.lit(0), F.lit(runs - 1))))
+    return each.select("run", "doc_id", ((F.col("n_chars") * (F.col("run") + 3) % 1000) / 1000.0).alias("score"), "label")
+
+
 def grid_log(spark: SparkSession, folder: str) -> DataFrame:
     """A sweep log laid over the parts."""
     k = F.col("p_partkey")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 GRID_LOG = "depth int, colsample double, subsample double, learning_rate double, recall double"
@@ -36,9 +37,31 @@ def read_grid_log(spark: SparkSession, path: str, sep: str = ",", with_depth: bo
 
 
 def append_grid_log(df: DataFrame, path: str, sep: str = ",") -> None:
+    """Adds lines; for one writer at a time, as writers of one folder share what is not yet committed there."""
     df.write.mode("append").option("sep", sep).csv(path)
 
 
+def log_run(run: DataFrame, path: str, name: str) -> None:
+    """Puts the one line of a run into the log, in a folder named after it.
+
+    Writers of different runs share no folder, so any number can be at work. The line is one file, which the write's
+    commit renames into place: a run that fails or breaks off leaves none, and a run made again replaces its line.
+    """
+    run.coalesce(1).write.mode("overwrite").csv(f"{path.rstrip('/')}/run-{name}")
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of all runs in a log, those of ``append_grid_log`` too; none where there is no log yet."""
+    log = spark.createDataFrame([], GRID_LOG)
+    for place in (path, f"{path.rstrip('/')}/run-*"):
+        try:
+            log = log.unionByName(read_grid_log(spark, place))
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return log
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """Matrix export with a header."""
     df.write.mode("overwrite").option("header", True).csv(path)
