@@ -19,6 +19,7 @@ from nightledger.operators import (
     model,
     periods,
     prep,
+    prepared,
     quality,
     status,
     stay,
@@ -26,7 +27,7 @@ from nightledger.operators import (
 )
 from nightledger.plans import matrix
 from nightledger.plans.features import feature_table
-from nightledger.session import cut_lineage
+from nightledger.session import cut_lineage, shared_path
 from nightledger.sources import adapters as src
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -338,6 +339,17 @@ def standardize(spark: SparkSession, folder: str) -> DataFrame:
     return scaled.select("orderid", *[F.round(c, 6).alias(c) for c in columns])
 
 
+def saved_preparation(spark: SparkSession, folder: str) -> DataFrame:
+    """What a preparation that was fitted, saved and read again makes of the rows."""
+    status = src.table(spark, folder, "orders").select(F.col("o_orderkey").alias("orderid"), F.col("o_orderstatus").alias("status"))
+    rows = _numbers(spark, folder).join(status, "orderid")
+    numbers = ["price", "steps", "level"]
+    path = shared_path(spark)
+    prepared.save_prepared(prepared.preparation(scaled=numbers, categories=["status"]).fit(rows), path)
+    made = prepared.load_prepared(path).transform(rows).withColumn("x", vector_to_array("features"))
+    return made.select("orderid", *[F.round(F.col("x")[i], 6).alias(c) for i, c in enumerate([*numbers, "f", "o", "p"])])
+
+
 def label_encode(spark: SparkSession, folder: str) -> DataFrame:
     events = src.table(spark, folder, "events").select("event_id", "event_type")
     return prep.label_encode(events, prep.fit_label_encoder(events, "event_type"))
@@ -444,6 +456,37 @@ def gbt_stump_score(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumn("score", F.round("score", 9))
 
 
+def gbt_staged_losses(spark: SparkSession, folder: str) -> DataFrame:
+    """Loss of the validation slice after each of 12 rounds, and the rounds that a patience of 3 keeps."""
+    rows = _stump_rows(spark, folder)
+    fitted = model.train_gbt(rows.where("slice = 'train'"), ["forced"], params=STUMP | {"maxIter": 12})
+    curve = model.staged_losses(fitted, rows.where("slice = 'validation'"), ["forced"])
+    best, _ = model.best_prefix([r["loss"] for r in curve.orderBy("round").collect()], 3)
+    return curve.select("round", F.round("loss", 9).alias("loss"), (F.col("round") <= best).alias("kept"))
+
+
+def gbt_patience(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of the test slice by the rounds that a patience of 3 keeps."""
+    rows = _stump_rows(spark, folder)
+    known = rows.where("slice in ('train', 'validation')")
+    fitted = model.train_gbt(
+        known, ["forced"], params=STUMP | {"maxIter": 12}, held_out=F.col("slice") == "validation", patience=3
+    )
+    scored = model.score(fitted, rows.where("slice = 'test'"), ["forced"], keep=["orderid", "isbookable"])
+    return scored.withColumn("score", F.round("score", 9))
+
+
+def grid_search_axes(spark: SparkSession, folder: str) -> DataFrame:
+    """Several values on three axes; on one 0/1 column only the data decide, so each run has the recall of the closed form."""
+    grid = sweep.grid_frame(
+        spark, {"depth": (1, 2), "colsample": (0.5, 1.0), "subsample": (1.0,), "learning_rate": (0.1, 0.2)}
+    )
+    found = sweep.grid_search(
+        _stump_rows(spark, folder), ["forced"], grid, floor=0.4, parallelism=4, params={"maxIter": 1, "minInstancesPerNode": 1}
+    )
+    return found.withColumn("recall", F.round("recall", 9))
+
+
 def grid_search_stump(spark: SparkSession, folder: str) -> DataFrame:
     grid = sweep.grid_frame(
         spark, {"depth": (1,), "colsample": (1.0,), "subsample": (1.0,), "learning_rate": (0.1, 0.2)}
@@ -544,6 +587,7 @@ def registered() -> dict[str, Query]:
         "capped_occupancy": capped_occupancy,
         "calendar_features": calendar_features,
         "standardize": standardize,
+        "saved_preparation": saved_preparation,
         "label_encode": label_encode,
         "one_hot": one_hot,
         "dummies": dummies,
@@ -561,7 +605,10 @@ def registered() -> dict[str, Query]:
         "f1_like": _evaluation(evaluate.f1_like),
         "gbt_score": gbt_score,
         "gbt_stump_score": gbt_stump_score,
+        "gbt_staged_losses": gbt_staged_losses,
+        "gbt_patience": gbt_patience,
         "grid_search": grid_search,
+        "grid_search_axes": grid_search_axes,
         "grid_search_stump": grid_search_stump,
         "grid_remaining": grid_remaining,
         "grid_best_by_depth": _best_by("depth"),

@@ -69,17 +69,22 @@ def stored(df: DataFrame) -> DataFrame:
     Unlike a checkpoint the result has a size that Spark knows and no partitioning, so a join on it adds an exchange, which
     adaptive execution can split.
     """
-    path = f"{_shared_folder(df.sparkSession).rstrip('/')}/{uuid.uuid4().hex}"
+    path = shared_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def shared_path(spark: SparkSession) -> str:
+    """A path not yet used in the folder that the session names in ``spark.checkpoint.dir``."""
+    return f"{_shared_folder(spark).rstrip('/')}/{uuid.uuid4().hex}"
+
+
 def _shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not context.master.startswith("local["):
+            if context.master != "local" and not context.master.startswith("local["):
                 raise ValueError("set spark.checkpoint.dir to a folder all executors share")
             folder = own_folder()
             spark.conf.set("spark.checkpoint.dir", folder)
