@@ -23,6 +23,8 @@ from nightledger.llm.common import keyed, keys_of, written
 
 WINDOW = 10
 GRAM = 5
+#: Words of a piece of text that travels with its fingerprints; a longer one costs more for each of them.
+PIECE = 256
 #: Seeds of a benchmark are broadcast up to this number, of 16 bytes each; beyond it they are joined by a shuffle.
 MOST_BROADCAST = 500_000
 _POSITION_BITS = 30  # a text of 2 GB has fewer words than this counts
@@ -79,6 +81,13 @@ def fingerprints(df: DataFrame, keys: list[str], short: list[int], *, with_words
     )
 
 
+def pieces(texts: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys``, ``offset`` and words of pieces of every text: each place is in one, with all words of a window from there on."""
+    begin = F.when(F.size("ws") > 0, F.sequence(F.lit(0), F.size("ws") - 1, F.lit(PIECE))).otherwise(F.array().cast("array<int>"))
+    cut = F.transform(begin, lambda i: F.struct(i.alias("offset"), F.slice("ws", i + 1, PIECE + WINDOW - 1).alias("ws")))
+    return texts.select(*keys, F.explode(cut).alias("piece")).select(*keys, "piece.offset", "piece.ws")
+
+
 def occurrences(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Places of benchmark windows in documents (key, start, n, window), and the windows of every item."""
     base = keyed(docs)
@@ -113,15 +122,19 @@ def occurrences(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataF
     places = F.transform(F.sequence(first, F.col("p")), lambda i: F.struct(i.alias("start"), F.col("n").alias("n")))
     texts = base.select(*key, words(F.col("text")).alias("ws"))
     if seeds.count() <= MOST_BROADCAST:
-        # in one stage: words stay where they are, and only around hits windows are cut from them
-        around = fingerprints(texts, key, short, with_words=True).join(F.broadcast(seeds), "h")
-        around = around.select(*key, "ws", F.explode(places).alias("at"))
+        # in one stage: words stay where they are, and only around hits windows are cut from them; a fingerprint carries the
+        # words of its piece, so the work goes with the length of a text
+        around = fingerprints(pieces(texts, key), [*key, "offset"], short, with_words=True).join(F.broadcast(seeds), "h")
+        around = around.select(*key, "offset", "ws", F.explode(places).alias("at"))
     else:
         hits = fingerprints(texts, key, short).join(seeds, "h").select(*key, F.explode(places).alias("at"))
         hits = written(hits.groupBy(*key).agg(F.collect_set("at").alias("at")), "hits")
-        around = base.join(hits, key).select(*key, "at", words(F.col("text")).alias("ws")).select(*key, "ws", F.explode("at").alias("at"))
+        around = base.join(hits, key).select(*key, "at", words(F.col("text")).alias("ws"))
+        around = around.select(*key, F.lit(0).alias("offset"), "ws", F.explode("at").alias("at"))
     inside = (
-        around.select(*key, "at.start", "at.n", F.slice("ws", F.col("at.start") + 1, F.col("at.n")).alias("window"))
+        around.select(
+            *key, (F.col("offset") + F.col("at.start")).alias("start"), "at.n", F.slice("ws", F.col("at.start") + 1, F.col("at.n")).alias("window")
+        )
         .where(F.size("window") == F.col("n"))
         .select(*key, "start", "n", F.concat_ws(" ", "window").alias("window"))
     )

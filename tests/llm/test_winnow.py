@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
 
@@ -38,9 +39,10 @@ def check(spark, docs, items):
     assert sorted((str(r.doc_id), r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in got) == want
 
 
-@pytest.mark.parametrize("most", [winnow.MOST_BROADCAST, 0])
-def test_equals_a_direct_search(spark, monkeypatch, most):
+@pytest.mark.parametrize("most, piece", [(winnow.MOST_BROADCAST, winnow.PIECE), (winnow.MOST_BROADCAST, 1), (winnow.MOST_BROADCAST, 7), (0, 256)])
+def test_equals_a_direct_search(spark, monkeypatch, most, piece):
     monkeypatch.setattr(winnow, "MOST_BROADCAST", most)
+    monkeypatch.setattr(winnow, "PIECE", piece)
     draw = random.Random(3)
     some = lambda n: " ".join(draw.choice(["the", "of", "Ünd", "x1", "Rope", "é"]) for _ in range(n))
     items = [(1, PROSE), (2, some(40)), (3, some(10)), (4, "salt, and tea!"), (5, some(6)), (6, None), (7, ""), (None, "first boats are"), (10, PROSE)]
@@ -53,6 +55,20 @@ def test_long_items_only(spark):
     check(spark, [(1, "x " + PROSE[50:140] + " y"), (2, "a b c"), (3, None), (4, PROSE)], items)
 
 
+def test_a_text_of_ten_megabytes(spark):
+    """Benchmark windows at its ends and across the pieces it is cut into; the time goes with its length."""
+    item = words(PROSE)[:14]
+    text = [f"w{i % 9973}x{i % 10007}" for i in range(1_600_000)]
+    for at in (0, winnow.PIECE - 7, 5 * winnow.PIECE - 1, 800_000, len(text) - 14):
+        text[at : at + 14] = item
+    text[30_000:30_009] = item[:9]  # one word short of a window
+    start = time.monotonic()
+    check_one = winnow.decontaminate(documents(spark, [(1, " ".join(text)), (2, "clean")]), spark.createDataFrame([(7, " ".join(item))], "item_id long, text string"))
+    got = {r.doc_id: (r.n_words, r.n_hit, r.n_items) for r in check_one.collect()}
+    assert got == {1: (1_600_000, 5 * 14, 1), 2: (1, 0, 0)}
+    assert time.monotonic() - start < 120
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert winnow.decontaminate(spark.createDataFrame([], EMPTY), none).count() == 0
