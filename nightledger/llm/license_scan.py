@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -62,13 +63,13 @@ class Notice:
             while at >= 0:
                 spans.append((max(0, at - offset - self.edits), at - offset + self.size + self.edits))
                 at = line.find(seed, at + 1)
-        spans.sort()
         found, open_ = [], []
-        while spans:
-            a, b = spans.pop(0)
-            while spans and spans[0][0] <= b:
-                b = max(b, spans.pop(0)[1])
-            open_.append((a, min(b, len(line))))
+        for a, b in sorted(spans):
+            b = min(b, len(line))
+            if open_ and a <= open_[-1][1]:
+                open_[-1] = (open_[-1][0], max(b, open_[-1][1]))
+            else:
+                open_.append((a, b))
         for pattern in self.patterns:
             left = []
             for a, b in open_:
@@ -85,19 +86,21 @@ def scan(text: str | None, notices: list[Notice], phrases=PHRASES) -> tuple:
     """The result columns for one text, without its id."""
     words = (text or "").encode().translate(_WORDS).split()
     line = b" " + b" ".join(words) + b" "
+    blanks = np.flatnonzero(np.frombuffer(line, np.uint8) == 32)
+    blanks_before = lambda at: int(np.searchsorted(blanks, at))
     places, base = [], set()
     for phrase, label in phrases:
         key = b" " + phrase.encode() + b" "
         at = line.find(key)
         while at >= 0:
-            places.append(line.count(b" ", 0, at))
+            places.append(blanks_before(at))
             base.add(label)
             at = line.find(key, at + 1)
     found, best = [], 1.0 if base else 0.0
     for n in notices:
         for a, b, edits in n.find(line):
             a += line[a] == 32
-            first = line.count(b" ", 0, a) - 1
+            first = blanks_before(a) - 1
             found.append((n.label, first, first + line[a:b].rstrip().count(b" "), edits))
             best = max(best, 1 - edits / n.size)
     found.sort(key=lambda x: (x[1], x[2], x[0]))

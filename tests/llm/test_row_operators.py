@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -314,5 +315,15 @@ def test_adjacent_notices_leave_no_place_between():
                 assert fewest_edits(text.encode(), line[a:b]) > most
 
 
+def test_licenses_of_a_long_text_with_many_phrases():
+    """Ten megabytes, a phrase every other word: places are counted from the blanks, not from the start each time."""
+    notices = [license_scan.Notice(*x) for x in license_scan.NOTICES]
+    text = "cc by " * 1_600_000 + "all rights reserved"
+    start = time.monotonic()
+    n_words, n_base, first, last, base, *_ = license_scan.scan(text, notices)
+    assert (n_words, n_base, first, last, base) == (3_200_003, 1_600_001, 0, 3_200_000, "cc-by,reserved")
+    assert time.monotonic() - start < 60
+
+
 def test_licenses_of_an_empty_table(spark):
     assert license_scan.license_notices(spark.createDataFrame([], EMPTY)).count() == 0
