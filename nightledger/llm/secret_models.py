@@ -16,6 +16,7 @@ each; without a random or an ordinary sample the models are uniform and add noth
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +25,8 @@ ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?
 #: A failing match of these two holds no passing one, so the least lengths can stand in the patterns.
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
-TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
+_TOKEN_SET = "A-Za-z0-9+/_=-"
+TOKEN = rf"[{_TOKEN_SET}]{{20,}}"
 KINDS = ("assign", "access", "hex", "markov")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _SIZE = len(ALPHABET) + 1  # 0 stands for any other character
@@ -118,17 +120,20 @@ class Models:
 
 
 def train(docs: DataFrame, *, sample: int = 2000, smooth: float = 2.0, per_pair: float = 0.8) -> Models:
-    """Count character pairs in at most ``sample`` texts with a base match and as many of any kind, chosen by hash.
+    """Count character pairs in at most ``sample`` texts with a base match and as many of any kind, chosen by hash of the id.
+
+    Of rows that share an id the first by a hash of the text counts.
 
     The driver gets one count per pair of characters and class.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("text").isNotNull())
     ids = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull())
     order = [F.xxhash64("doc_id"), "doc_id"]
-    any_kind = ids.select("doc_id").orderBy(*order).limit(sample)
+    any_kind = ids.select("doc_id").distinct().orderBy(*order).limit(sample)
     hit = ids.where(F.col("text").rlike(ASSIGN) | F.col("text").rlike(ACCESS) | F.col("text").rlike(HEX))
-    chosen = any_kind.unionByName(hit.select("doc_id").orderBy(*order).limit(sample)).distinct()
-    texts = docs.join(F.broadcast(chosen), "doc_id").select("text")  # at most twice ``sample`` ids
+    chosen = any_kind.unionByName(hit.select("doc_id").distinct().orderBy(*order).limit(sample)).distinct()
+    texts = docs.join(F.broadcast(chosen), "doc_id")  # at most twice ``sample`` ids, of which one text each counts
+    texts = texts.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("t"), "text")).alias("row")).select("row.text")
     base = base_matches(F.col("text"))
     value = F.transform(base["assign"], lambda m: F.regexp_extract(m["match"], ASSIGN, 2))
     others = [F.transform(base[k], lambda m: m["match"]) for k in ("access", "hex")]
@@ -178,17 +183,17 @@ def _listed(spans: Column) -> Column:
 def scan(docs: DataFrame, models: Models) -> DataFrame:
     """One row per document: spans per kind, the digest of the base spans and the list of all spans.
 
-    A token of the models that overlaps a base span adds nothing.
+    A token of the models that lies within a base span adds nothing; one that reaches beyond adds its own span.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     base, marked = found(text, models)
     out = docs.select("doc_id", base.alias("base"), marked.alias("marked"))
 
-    def apart(m: Column) -> Column:
-        return ~F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"]))
+    def beyond(m: Column) -> Column:
+        return ~F.exists("base", lambda b: (b["start"] <= m["start"]) & (m["end"] <= b["end"]))
 
     counted = lambda i: F.size(F.filter("base", lambda s: s["kind"] == i)).cast("long")
-    added = F.when(F.size("marked") > 0, F.filter("marked", apart)).otherwise(F.col("marked"))
+    added = F.when(F.size("marked") > 0, F.filter("marked", beyond)).otherwise(F.col("marked"))
     return out.select(
         "doc_id",
         *(counted(i).alias(f"n_{k}") for i, k in enumerate(KINDS[:3])),
@@ -198,7 +203,10 @@ def scan(docs: DataFrame, models: Models) -> DataFrame:
 
 
 def redacted(text: Column, models: Models, mark: str = "[SECRET]") -> Column:
-    """The text with every secret replaced, kind after kind; text between matches is copied once per kind."""
+    """The text with every secret replaced, kind after kind; text between matches is copied once per kind.
+
+    Characters of tokens that a replaced match leaves beside it go with it: they may be the rest of a token that the models mark.
+    """
 
     def swapped(x: Column, pattern: str, passes) -> Column:
         pieces = F.zip_with(
@@ -215,4 +223,5 @@ def redacted(text: Column, models: Models, mark: str = "[SECRET]") -> Column:
     out = text
     for pattern, passes in ((ASSIGN, strong), (ACCESS, always), (HEX, always), (TOKEN, models.secret)):
         out = step(out, pattern, passes)
-    return out
+    glued = rf"[{_TOKEN_SET}]*{re.escape(mark)}[{_TOKEN_SET}]*"
+    return F.transform(F.array(out), lambda one: F.when(one != text, F.regexp_replace(one, glued, mark)).otherwise(one))[0]

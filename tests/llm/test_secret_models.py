@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 from nightledger.llm import secret_models
@@ -49,6 +50,49 @@ def test_models_tell_random_strings_from_identifiers(spark):
     assert again.ratios == models.ratios
 
 
+def by_models(text, models):
+    """Tokens whose mean ratio reaches the bound and that no base span holds."""
+    code = lambda c: secret_models.ALPHABET.find(c) + 1
+    base, out = brute(text), []
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text or ""):
+        codes = [code(c) for c in m[0]]
+        mean = sum(models.ratios[a * secret_models._SIZE + b] for a, b in zip(codes, codes[1:])) / (len(codes) - 1)
+        if mean >= models.per_pair and not any(a <= m.start() and m.end() <= b for a, _, b in base):
+            out.append((m.start(), 3, m.end()))
+    return base, out
+
+
+def test_added_spans_and_redaction_cover_the_union(spark):
+    """Tokens that hold base spans, lie in them, tie with the bound or reach beyond on either side."""
+    draw = random.Random(2)
+    models = secret_models.Models([draw.choice([-1.0, 0.0, 1.0, 0.125]) for _ in range(secret_models._SIZE**2)], 0.0)
+    some = lambda n: "".join(draw.choice(secret_models.ALPHABET) for _ in range(n))
+    made = [(100 + i, " ".join([some(30), "secret=" + some(25) + ".x" + some(9), some(7) + "deadbeef" * 4 + some(8), "AKIA" + "Q" * 20 + some(6), "plain words"])) for i in range(60)]
+    docs = documents(spark, [*rows(), *made])
+    cleaned = docs.select("doc_id", "text", secret_models.redacted(spark_col("text"), models).alias("clean")).collect()
+    found = {r.doc_id: r.spans for r in secret_models.scan(docs.where("doc_id >= 20"), models).collect()}
+    beyond = 0
+    for r in cleaned:
+        base, added = by_models(r.text, models)
+        if r.doc_id in found:
+            assert found[r.doc_id] == listed(sorted(base + added))
+        if r.text and not base + added:
+            assert r.clean == r.text
+        if (r.doc_id or 0) >= 100:
+            beyond += sum(any(a < y and x < b for x, _, y in base) for a, _, b in added)
+            assert "plain words" in r.clean
+            for a, _, b in base + added:
+                assert not any(part in r.clean for part in re.findall(r"[A-Za-z0-9+/]{6,}", r.text[a:b]))
+    assert beyond > 20
+
+
+def test_one_hot_id_is_one_text_of_the_sample(spark):
+    names = "get_user_name parse_header internationalisation read_from_buffer "
+    texts = [(i, names + f"token = '{hashlib.sha1(str(i).encode()).hexdigest()}'") for i in range(20)]
+    plain, hot = (secret_models.train(documents(spark, texts + texts[:1] * n)) for n in (0, 500))
+    assert plain.ratios == hot.ratios
+
+
 def test_redaction_takes_what_the_scan_finds(spark):
     models = secret_models.Models([0.0] * secret_models._SIZE**2, float("inf"))
     docs = documents(spark, rows()).select("doc_id", "text", secret_models.redacted(spark_col("text"), models).alias("clean"))
