@@ -3,7 +3,8 @@
 A text is read in stretches of ``STEPS`` bytes, each from both ends. At every byte the two states give a
 probability per language; a document's probabilities are the means over all of its bytes. The network
 is trained in numpy by backpropagation through time on stretches spread over a bounded, hash-chosen sample of labelled
-documents per language; its loss counts every position.
+documents per language; its loss counts every position. Of rows that share an id one counts there, the first by language and
+a hash of the text.
 
 Defined results: ``und`` with score 0 for a null text and for one without a letter; rows are independent, so
 repeated rows and null ids give a row each; without a labelled document every text is ``und``; other input
@@ -12,12 +13,12 @@ columns are not looked at.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,7 +26,7 @@ from nightledger.llm.common import rows_of, written
 
 STEPS = 64
 PAD = 256
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 @dataclass
@@ -200,15 +201,17 @@ def train(docs: DataFrame, *, per_label: int = 400, stretches: int = 6, hidden:
             data = [spread(x.encode(), stretches).tobytes() for x in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("k"), pa.array(data, pa.binary())], names=["lang", "k", "data"])
 
-    able = docs.select(F.col("doc_id").cast("long"), F.col("text"), F.col("lang").cast("string")).where(
+    able = docs.select(F.col("doc_id").cast("long"), F.col("text"), F.col("lang").cast("string"), F.xxhash64("text").alias("t")).where(
         F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out()
     )
-    chosen = able.select("doc_id", "lang", F.xxhash64("doc_id").alias("k"), F.pmod(F.xxhash64("doc_id"), F.lit(64)).alias("part"))
+    one = able.groupBy("doc_id").agg(F.min(F.struct("lang", "t")).alias("row")).select("doc_id", "row.lang", "row.t")
+    chosen = one.select("*", F.xxhash64("doc_id").alias("k"), F.pmod(F.xxhash64("doc_id"), F.lit(64)).alias("part"))
     for keys in (["lang", "part"], ["lang"]):  # first within parts, so that no task ranks a whole language
         ranked = chosen.withColumn("r", F.row_number().over(Window.partitionBy(*keys).orderBy("k", "doc_id")))
         chosen = ranked.where(F.col("r") <= per_label).drop("r")
-    chosen = written(chosen.select("doc_id", "k").dropDuplicates(["doc_id"]), "chosen")
-    got = able.join(chosen, "doc_id").select("lang", "k", "text").mapInArrow(cut, "lang string, k long, data binary").toArrow().to_pydict()
+    chosen = written(chosen.drop("part"), "chosen")
+    texts = able.join(chosen, ["doc_id", "lang", "t"]).dropDuplicates(["doc_id"])  # equal rows are one
+    got = texts.select("lang", "k", "text").mapInArrow(cut, "lang string, k long, data binary").toArrow().to_pydict()
     rows = sorted(zip(got["lang"], got["k"], got["data"], strict=True))
     labels = sorted(set(got["lang"]))
     if not labels:

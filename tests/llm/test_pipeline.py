@@ -1,5 +1,4 @@
-import re
-
+import regex
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -21,7 +20,7 @@ def test_language_goes_only_without_one(spark):
     docs = documents(spark, [*odd_rows(), (50, "1 2 3"), (51, "12.5 % !!")])
     out = corpus_pipeline.language(spark, docs, "")
     assert out.schema == docs.schema
-    want = [r for r in rows_of(docs) if re.search(r"[^\W\d_]", r[1]) and r[1] != "None"]
+    want = [r for r in rows_of(docs) if regex.search(r"\p{L}", r[1]) and r[1] != "None"]
     assert rows_of(out) == want
 
 
