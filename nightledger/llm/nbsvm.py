@@ -4,7 +4,8 @@ Features are indicators of byte n-grams (pairs, and triples hashed to ``2**17``)
 ratio of its smoothed frequency in the two classes; a linear hinge-loss model on the scaled features is
 fitted by dual coordinate descent, and a logistic curve on its margins gives the score.
 
-The fit takes at most ``sample`` labelled documents, the first by a hash of the id, from outside the held-out fold.
+The fit takes at most ``sample`` labelled documents, the first by a hash of the id, from outside the held-out fold. Of
+contradictory labels of an id the smaller counts, of rows that share an id the first by a hash of the text.
 Scores use whole texts and nothing but the text. Defined results: a null text scores like an empty one, that is
 by the intercept; rows are independent; with no labelled row, or one class only, every score is the share of
 label 1 in the sample, or 0.5 without any.
@@ -119,9 +120,11 @@ def _curve(margin: np.ndarray, label: np.ndarray, ridge: float = 1e-2) -> tuple[
 def train(docs: DataFrame, labels: DataFrame, *, sample: int = 3000, fold: int = 5, label: str = "quality") -> Model:
     """Fit on a bounded sample; the driver gets n-gram ids of that sample only."""
     chosen = (
-        labels.select("doc_id", F.col(label).cast("int").alias("y"))
+        labels.select(F.col("doc_id").cast("long"), F.col(label).cast("int").alias("y"))
         .where(F.col("y").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(fold))
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "y")
+        .groupBy("doc_id")
+        .agg(F.min("y").alias("y"))
+        .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(sample)
     )
 
@@ -133,9 +136,10 @@ def train(docs: DataFrame, labels: DataFrame, *, sample: int = 3000, fold: int =
                 [batch.column("doc_id"), batch.column("y"), pa.array([x.tobytes() for x in ids], pa.binary())], names=["doc_id", "y", "ids"]
             )
 
-    # at most ``sample`` rows, so the broadcast is bounded
-    joined = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(chosen.dropDuplicates(["doc_id"])), "doc_id")
-    got = joined.mapInArrow(features, "doc_id long, y int, ids binary").limit(sample).toArrow().to_pydict()
+    # at most ``sample`` rows, so the broadcast is bounded; one text per id goes on
+    joined = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(chosen), "doc_id")
+    joined = joined.groupBy("doc_id", "y").agg(F.min(F.struct(F.xxhash64("text").alias("t"), "text")).alias("row"))
+    got = joined.select("doc_id", "y", "row.text").mapInArrow(features, "doc_id long, y int, ids binary").toArrow().to_pydict()
     order = sorted(range(len(got["y"])), key=lambda i: (got["doc_id"][i], got["ids"][i]))
     return fit([(np.frombuffer(got["ids"][i], np.int32), got["y"][i]) for i in order])
 

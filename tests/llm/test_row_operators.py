@@ -80,14 +80,14 @@ def test_languages_are_learned_and_every_byte_counts(spark):
     say = lambda lang: " ".join("".join(draw.choice(sounds[lang]) for _ in range(draw.randint(1, 4))) for _ in range(draw.randint(8, 60)))
     rows = [(i, say(x), x) for i, x in enumerate(random.Random(6).choices(list(sounds), k=500))]
     kind = "doc_id long, text string, lang string"
-    odd = [(None, "kato mi", None), (9001, None, "aa"), (9002, "", "aa"), (9003, "12 34 !", "bb"), (9004, "kato " * 20_000, None)]
+    odd = [(None, "kato mi", None), (9001, None, "aa"), (9002, "", "aa"), (9003, "12 34 !", "bb"), (9005, "² ½ ① _ 7", "bb"), (9004, "kato " * 20_000, None)]
     docs = spark.createDataFrame([*rows, *odd], kind)
     net = byte_gru.train(docs, per_label=150, epochs=6)
     got = {r.doc_id: r for r in byte_gru.languages(docs, net).collect()}
     test = [(i, x) for i, _, x in rows if zlib.crc32(str(i).encode()) % 4 == 2]
     assert all(got[i].held_out for i, _ in test) and sum(r.held_out for r in got.values()) >= len(test)
     assert sum(got[i].lang_pred == x for i, x in test) >= 0.97 * len(test)
-    assert [got[i].lang_pred for i in (9001, 9002, 9003, 9004, None)] == ["und", "und", "und", "aa", "aa"]
+    assert [got[i].lang_pred for i in (9001, 9002, 9003, 9005, 9004, None)] == ["und", "und", "und", "und", "aa", "aa"]
     assert all(0 <= r.score <= 1 for r in got.values()) and got[9001].score == 0
 
     text = ("kato " * 50 + "ückschl " * 30).encode()
@@ -101,6 +101,30 @@ def test_languages_are_learned_and_every_byte_counts(spark):
     assert whole == pytest.approx(by_hand / len(text), abs=1e-5)
 
 
+def test_a_hot_id_and_empty_tables_in_language_training(spark):
+    """A repeated id is one document of the sample, the first by language and text hash, whatever the number of its rows."""
+    texts = [(i, f"{'kato miru' if i % 2 else 'schlück erzung'} {i}", "aa" if i % 2 else "bb") for i in range(40)]
+    again = [(1, "schlück", "bb"), (3, texts[3][1], "aa")] * 300
+    kind = "doc_id long, text string, lang string"
+    nets = [byte_gru.train(spark.createDataFrame(x, kind), per_label=10, epochs=1) for x in (texts, texts + [(3, texts[3][1], "aa")] * 300, texts + again)]
+    assert all((a == b).all() for a, b in zip(nets[0].parameters(), nets[1].parameters()))
+    assert nets[2].labels == ["aa", "bb"]
+    empty = spark.createDataFrame([], kind)
+    assert byte_gru.train(empty) is None and byte_gru.languages(empty, None).count() == 0
+    odd = documents(spark, [*odd_rows(), *odd_rows()])
+    rows = byte_gru.languages(odd, nets[0]).collect()
+    assert len(rows) == 2 * len(odd_rows())
+    texts_of = {i: t for i, t in odd_rows() if sum(j == i for j, _ in odd_rows()) == 1}
+    for r in rows:
+        if r.doc_id in texts_of:
+            t = texts_of[r.doc_id]
+            if t and any(c.isalpha() for c in t):
+                p = byte_gru.predict(nets[0], [t.encode()])[0]
+                assert (r.lang_pred, r.score) == (nets[0].labels[int(p.argmax())], pytest.approx(float(p.max()), abs=1e-5))
+            else:
+                assert (r.lang_pred, r.score) == ("und", 0.0)
+
+
 def test_language_without_training_rows(spark):
     docs = documents(spark, [(1, PROSE)]).drop("lang").selectExpr("*", "cast(null as string) as lang")
     row = byte_gru.languages(docs, byte_gru.train(docs)).first()
@@ -127,6 +151,31 @@ def test_quality_of_unseen_documents(spark):
     assert all(r.predicted == int(r.score >= 0.3) for r in got.values())
 
 
+def test_repeated_rows_and_contradictory_labels_in_quality_training(spark):
+    ws = PROSE.split()
+    rows = [(i, " ".join(ws[i % 20 : i % 20 + 12]) + (" ***" if i % 3 else "")) for i in range(90)]
+    label = [(i, int(i % 3 == 0)) for i in range(90)]
+    kind = "doc_id long, quality int"
+    plain = nbsvm.train(documents(spark, rows), spark.createDataFrame(label, kind))
+    same = nbsvm.train(documents(spark, rows + rows[5:9] * 50), spark.createDataFrame(label + label[3:8] * 400, kind))
+    both = nbsvm.train(documents(spark, rows), spark.createDataFrame(label + [(i, 1) for i in range(90)], kind))  # the smaller counts
+    small = nbsvm.train(documents(spark, rows), spark.createDataFrame(label + label[:1] * 5000, kind), sample=60)
+    for model in (same, both):
+        assert (model.weights == plain.weights).all() and model.slope == plain.slope
+    assert (small.weights != 0).any()
+    empty = spark.createDataFrame([], EMPTY)
+    assert nbsvm.quality_scores(empty, nbsvm.train(empty, spark.createDataFrame([], kind))).count() == 0
+    flags = np.zeros(nbsvm.DIMENSIONS, bool)
+    for r in nbsvm.quality_scores(documents(spark, [(1, PROSE), (2, "x " * 2_000_000), (3, None)]), plain).collect():
+        text = {1: PROSE, 2: "x " * 2_000_000, 3: ""}[r.doc_id].encode()
+        grams = {text[i : i + 2] for i in range(len(text) - 1)} | {text[i : i + 3] for i in range(len(text) - 2)}
+        ids = sorted({g[0] << 8 | g[1] if len(g) == 2 else nbsvm.PAIRS + ((g[0] << 16 | g[1] << 8 | g[2]) * 2654435761 % 2**32 >> 15) for g in grams})
+        assert ids == nbsvm.indicators(text, flags).tolist()
+        x = plain.weights[ids].astype(float).sum() / (plain.squares[ids].astype(float).sum() ** 0.5 + 1e-12) + plain.bias
+        score = 1 / (1 + np.exp(-(plain.slope * x + plain.shift)))
+        assert r.score == pytest.approx(score, abs=1e-6) and r.predicted == int(r.score >= 0.3)
+
+
 def test_dual_coordinate_descent_separates_and_one_class_is_its_share():
     flags = np.zeros(nbsvm.DIMENSIONS, bool)
     texts = [(b"abab" * k, 1) for k in range(1, 30)] + [(b"xyxy" * k, 0) for k in range(1, 10)]
