@@ -6,10 +6,11 @@ from collections.abc import Sequence
 from datetime import date
 
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from nightledger.operators.ordering import running_totals
+from nightledger.operators.quality import column_values
 
 MISSING = -999.0
 
@@ -57,15 +58,34 @@ def one_hot(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return encoder.fit(df).transform(df)
 
 
+#: How a value of a simple type is read back from its text.
+_FROM_TEXT = {
+    "string": str,
+    "boolean": lambda v: v == "true",
+    **dict.fromkeys(("tinyint", "smallint", "int", "bigint"), int),
+    **dict.fromkeys(("float", "double"), float),
+    "date": date.fromisoformat,
+}
+
+
 def fit_categories(df: DataFrame, columns: Sequence[str], most: int = 1000) -> dict[str, list]:
-    """Sorted values of category columns; raises where a column has more than ``most``."""
-    found = {}
-    for column in columns:
-        values = [r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().limit(most + 1).collect()]
-        if len(values) > most:
+    """Sorted values of category columns, all in one pass; raises where a column has more than ``most``."""
+    kinds = {c: df.schema[c].dataType.simpleString() for c in columns}
+    if other := [c for c, kind in kinds.items() if kind not in _FROM_TEXT]:
+        raise ValueError(f"no category by their type: {', '.join(other)}")
+    if not columns:
+        return {}
+    values = column_values(df, columns).where(F.col("value").isNotNull())
+    order = Window.partitionBy("column_name").orderBy("value")
+    some = values.withColumn("place", F.row_number().over(order)).where(F.col("place") <= most + 1)
+    found: dict[str, list] = {c: [] for c in columns}
+    for row in some.select("column_name", "value").collect():
+        found[row["column_name"]].append(_FROM_TEXT[kinds[row["column_name"]]](row["value"]))
+    for column, own in found.items():
+        if len(own) > most:
             raise ValueError(f"{column} has more than {most} values; it is no category")
         # text is ordered by its bytes, as Spark orders it
-        found[column] = sorted(values, key=lambda v: v.encode() if isinstance(v, str) else v)
+        own.sort(key=lambda v: v.encode() if isinstance(v, str) else v)
     return found
 
 

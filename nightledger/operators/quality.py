@@ -24,6 +24,30 @@ def distinct_values(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*columns).distinct()
 
 
+def column_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(``column_name``, ``value`` as text, ``n``) for all values of many columns, missing ones too, in one shuffle.
+
+    Each row becomes a short row per column; equal ones are counted before they are shuffled, so a value that most rows
+    have is one row per task.
+    """
+    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns])
+    return df.select(F.explode(cells).alias("cell")).groupBy("cell.column_name", "cell.value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Per column: rows, missing ones, distinct values, and the commonest value with its rows (of equals the smallest)."""
+    per_value = column_values(df, list(columns or df.columns))
+    known = F.col("value").isNotNull()
+    commonest = F.min(F.when(known, F.struct((-F.col("n")).alias("n"), "value")))
+    return per_value.groupBy("column_name").agg(
+        F.sum("n").alias("total"),
+        F.coalesce(F.sum(F.when(~known, F.col("n"))), F.lit(0)).alias("missing"),
+        F.count("value").alias("distinct_values"),
+        commonest["value"].alias("commonest"),
+        (-commonest["n"]).alias("commonest_n"),
+    )
+
+
 def value_histogram(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count(F.lit(1)).alias("n")).orderBy(column)
 

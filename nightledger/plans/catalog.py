@@ -29,6 +29,7 @@ from nightledger.plans import matrix
 from nightledger.plans.features import feature_table
 from nightledger.session import cut_lineage, shared_path
 from nightledger.sources import adapters as src
+from nightledger.sources import files, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -522,6 +523,45 @@ def null_rates(spark: SparkSession, folder: str) -> DataFrame:
     return quality.null_rates(rows).withColumn("null_rate", F.round("null_rate", 9))
 
 
+def refreshed_days(spark: SparkSession, folder: str) -> DataFrame:
+    """A table by month, two of its months written anew, read for the months of some targets."""
+    month = F.trunc("ordd", "month").alias("d")
+    rows = src.bookings(spark, folder).select("orderid", "ordroomnum", month).where("d < date '1997-01-01'")
+    path = shared_path(spark)
+    tables.refresh_days(rows, path)
+    anew = rows.where("d in (date '1996-03-01', date '1996-04-01') and orderid % 2 = 0")
+    tables.refresh_days(anew.withColumn("ordroomnum", F.col("ordroomnum") + 100), path)
+    wanted = _targets(spark, folder).where("ordd < date '1996-06-01'").select(F.trunc("ordd", "month"))
+    return tables.of_days(tables.read_table(spark, path), wanted).groupBy("d").agg(
+        F.count(F.lit(1)).alias("orders"), F.sum("ordroomnum").alias("rooms")
+    )
+
+
+def observed_save(spark: SparkSession, folder: str) -> DataFrame:
+    """What was counted while the bookings were written."""
+    tests = {"force_orders": F.col("isforceorder") == "T", "recent": F.col("order_ts") >= F.lit(SINCE)}
+    counts, shares = tables.save_observed(src.bookings(spark, folder), shared_path(spark), tests, ["balancetype", "isforceorder"])
+    rows = [(k, float(v)) for k, v in counts.items()] + [(f"null {k}", round(v, 9)) for k, v in shares.items()]
+    return spark.createDataFrame(rows, "measure string, value double")
+
+
+def column_profile(spark: SparkSession, folder: str) -> DataFrame:
+    orders = src.table(spark, folder, "orders")
+    return quality.profile(orders.select(*[c for c, kind in orders.dtypes if kind in ("string", "int", "bigint")]))
+
+
+def checked_features(spark: SparkSession, folder: str) -> DataFrame:
+    """Clean rows and lines set aside of a feature file with missing keys and dates that are none."""
+    k, path = F.col("o_orderkey"), shared_path(spark)
+    day = F.when(k % 7 == 0, F.lit("2016-13-45")).otherwise(F.to_date("o_orderdate").cast("string"))
+    made = src.table(spark, folder, "orders").select(F.when(k % 5 > 0, k).alias("orderid"), F.col("o_totalprice").alias("price"), day.alias("ordd"))
+    files.write_features(made, path)
+    clean, bad = files.read_checked(spark, path, "orderid bigint, price double, ordd date", keys=["orderid"])
+    return clean.agg(F.lit("clean").alias("kind"), F.count(F.lit(1)).alias("n"), F.sum("orderid").alias("key_sum")).unionByName(
+        bad.agg(F.lit("aside").alias("kind"), F.count(F.lit(1)).alias("n"), F.lit(None).cast("long").alias("key_sum"))
+    )
+
+
 def distinct_violations(spark: SparkSession, folder: str) -> DataFrame:
     return quality.distinct_violations(src.bookings(spark, folder), "room", "balancetype")
 
@@ -617,6 +657,10 @@ def registered() -> dict[str, Query]:
         "grid_values": grid_values,
         "recall_surface": recall_surface,
         "null_rates": null_rates,
+        "refreshed_days": refreshed_days,
+        "observed_save": observed_save,
+        "column_profile": column_profile,
+        "checked_features": checked_features,
         "distinct_violations": distinct_violations,
         "distinct_values": distinct_values,
         "value_histogram": value_histogram,

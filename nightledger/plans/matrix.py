@@ -13,7 +13,7 @@ from nightledger.functions.calendar import HOLIDAYS_2016, days_to_holiday, is_we
 from nightledger.functions.codes import bounded_code
 from nightledger.functions.ratios import LEVELS, accepted
 from nightledger.operators.prep import dummies, fit_categories, fit_standardizer, standardize
-from nightledger.session import cut_lineage
+from nightledger.session import stored
 
 SCOPES = ("30d", "efdt30d")
 
@@ -130,7 +130,7 @@ def training_matrix(
     """
     used = dict.fromkeys((*keep, *columns.direct, *columns.scaled, *columns.coded))
     wide = features.select(*used, accepted(F.col("isnoroom")).alias("isbookable"), fit_on.alias("_fit"))
-    wide = cut_lineage(wide)
+    wide = stored(wide)
     fitting = wide.where("_fit")
     known = {**fit_categories(fitting, [c for c in columns.coded if c not in (categories or {})]), **(categories or {})}
     both = [c for c in columns.coded if c in columns.scaled or c in columns.direct]

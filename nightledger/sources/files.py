@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from nightledger.session import stored
 
 GRID_LOG = "depth int, colsample double, subsample double, learning_rate double, recall double"
 GRID_LOG_NO_DEPTH = "colsample double, subsample double, learning_rate double, recall double"
@@ -20,6 +26,27 @@ def read_features(spark: SparkSession, path: str, schema: str) -> DataFrame:
     )
 
 
+def read_checked(spark: SparkSession, path: str, schema: str, keys: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Rows of a feature file that read as declared, and the lines that don't: (rows, ``line``).
+
+    A line goes aside when it has too few or too many fields, a field that is not of its type, or no value in one of the
+    ``keys``. The file is read once and written out; every line is in one of the two.
+    """
+    reader = spark.read.schema(f"{schema}, _bad string").option("columnNameOfCorruptRecord", "_bad").option("mode", "PERMISSIVE")
+    read = stored(reader.option("sep", "\t").option("header", True).option("nullValue", "NULL").csv(path))
+    rows = read.where("_bad is null").drop("_bad")
+    without = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys), F.lit(False))
+    again = F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in rows.columns])
+    bad = read.where("_bad is not null").select(F.col("_bad").alias("line"))
+    return rows.where(~without), bad.unionByName(rows.where(without).select(again.alias("line")))
+
+
+def keyed_by_number(df: DataFrame, column: str, kind: str = "bigint") -> tuple[DataFrame, DataFrame]:
+    """Rows whose text key is a number, with the key as one, and the others as they came."""
+    number = F.col(column).try_cast(kind)
+    return df.where(number.isNotNull()).withColumn(column, number), df.where(number.isNull())
+
+
 def write_features(df: DataFrame, path: str) -> None:
     (
         df.write.mode("overwrite")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 BOOKING_SNAPSHOT = (
@@ -66,3 +67,38 @@ def save(df: DataFrame, target: str, partition_by: tuple[str, ...] = ()) -> None
         writer.save(target)
     else:
         writer.saveAsTable(target)
+
+
+def refresh_days(df: DataFrame, path: str, column: str = "d") -> None:
+    """Put the days of ``df`` into a table partitioned by day, in place of what it has of them.
+
+    Other days are not touched, and the same refresh again gives the same table. A day without a row in ``df`` keeps what it
+    has. Rows are dealt by day and a hash, so that a large day is written by several tasks.
+    """
+    spread = df.repartition(column, F.pmod(F.xxhash64(*[c for c in df.columns if c != column]), F.lit(8)))
+    spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+
+
+def of_days(df: DataFrame, days: DataFrame, column: str = "d") -> DataFrame:
+    """The rows of a table partitioned by day whose day is in the one column of ``days``; other partitions are not read.
+
+    There are as many days as the calendar has, so they are broadcast, which is what prunes partitions while the query runs.
+    """
+    wanted = days.toDF("_day").where("_day is not null").distinct()
+    return df.join(F.broadcast(wanted), F.col(column) == F.col("_day"), "left_semi")
+
+
+def save_observed(
+    df: DataFrame,
+    target: str,
+    tests: Mapping[str, Column] | None = None,
+    columns: Sequence[str] = (),
+    partition_by: tuple[str, ...] = (),
+) -> tuple[dict[str, int], dict[str, float | None]]:
+    """``save`` and what passed by while writing, without another scan: rows in all and per test, and null shares of ``columns``."""
+    seen = Observation()
+    counts = [F.count(F.lit(1)).alias("total"), *[F.count_if(test).alias(f"test_{name}") for name, test in (tests or {}).items()]]
+    shares = [F.avg(F.col(c).isNull().cast("double")).alias(f"null_{c}") for c in columns]
+    save(df.observe(seen, *counts, *shares), target, partition_by)
+    got = seen.get
+    return {"total": got["total"], **{name: got[f"test_{name}"] for name in tests or {}}}, {c: got[f"null_{c}"] for c in columns}
