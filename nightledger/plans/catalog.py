@@ -26,7 +26,7 @@ from nightledger.operators import (
     sweep,
 )
 from nightledger.plans import matrix
-from nightledger.plans.features import feature_table
+from nightledger.plans.features import assemble, bucketed_blocks, feature_blocks, feature_table
 from nightledger.session import cut_lineage, shared_path
 from nightledger.sources import adapters as src
 from nightledger.sources import files, tables
@@ -203,8 +203,8 @@ def batch_asof_any_hour(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _features(spark: SparkSession, folder: str, orders: DataFrame | None = None, **options) -> DataFrame:
-    return feature_table(
+def _features(spark: SparkSession, folder: str, orders: DataFrame | None = None, make=feature_table, **options):
+    return make(
         src.bookings(spark, folder) if orders is None else orders,
         src.hotel_dim(spark, folder),
         src.room_dim(spark, folder),
@@ -247,6 +247,14 @@ def feature_assembly(spark: SparkSession, folder: str) -> DataFrame:
     return _features(spark, folder).select(*FEATURE_COLUMNS).withColumn("rest_time", F.round("rest_time", 6))
 
 
+def feature_assembly_bucketed(spark: SparkSession, folder: str) -> DataFrame:
+    """The same from blocks that lie in buckets of the order id."""
+    path = shared_path(spark)
+    base, blocks = bucketed_blocks(*_features(spark, folder, make=feature_blocks), path, 8, f"features_{path.rpartition('/')[2]}")
+    wide = assemble(base, *blocks.values())
+    return wide.select(*FEATURE_COLUMNS).withColumn("rest_time", F.round("rest_time", 6))
+
+
 def ratio_features(spark: SparkSession, folder: str) -> DataFrame:
     wide = ratios.with_ratios(_features(spark, folder), rule="zero_or_9999")
     return wide.select("orderid", *[F.round(c, 9).alias(c) for c in ratios.ratio_catalogue()])
@@ -616,6 +624,7 @@ def registered() -> dict[str, Query]:
         "batch_asof": batch_asof,
         "batch_asof_any_hour": batch_asof_any_hour,
         "feature_assembly": feature_assembly,
+        "feature_assembly_bucketed": feature_assembly_bucketed,
         "ratio_features": ratio_features,
         "booking_pipeline": booking_pipeline,
         "training_matrix": _matrix(matrix.ALL_LEVELS),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date, timedelta
 from functools import reduce
 
@@ -25,6 +25,7 @@ from nightledger.operators.quality import assert_unique
 from nightledger.operators.status import close_counts, close_hours, close_transitions, latest_close_event, status_backfill
 from nightledger.operators.stay import base_features, select_targets, stay_split
 from nightledger.session import cut_lineage
+from nightledger.sources.tables import save_bucketed
 
 
 def assemble(base: DataFrame, *blocks: DataFrame, key: str = "orderid") -> DataFrame:
@@ -36,7 +37,28 @@ def assemble(base: DataFrame, *blocks: DataFrame, key: str = "orderid") -> DataF
     return reduce(lambda wide, block: wide.join(block, key, "left"), blocks, base)
 
 
-def feature_table(
+def bucketed_blocks(
+    base: DataFrame, blocks: Mapping[str, DataFrame], folder: str, buckets: int, prefix: str = "features", key: str = "orderid"
+) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Base and blocks as catalog tables ``<prefix>_<name>`` below ``folder``, bucketed by order id: ``assemble`` joins them where they lie.
+
+    Each is shuffled once, when it is written; a block that is made again, or one that is added later, leaves the others as
+    they are.
+    """
+    stored = {
+        name: save_bucketed(block, f"{prefix}_{name}", f"{folder.rstrip('/')}/{name}", key, buckets)
+        for name, block in {"base": base, **blocks}.items()
+    }
+    return stored.pop("base"), stored
+
+
+def feature_table(*args, **options) -> DataFrame:
+    """The feature row of each target: ``feature_blocks`` (see there for the arguments) joined by order id."""
+    base, blocks = feature_blocks(*args, **options)
+    return assemble(base, *blocks.values())
+
+
+def feature_blocks(
     orders: DataFrame,
     hotels: DataFrame,
     rooms: DataFrame,
@@ -51,8 +73,8 @@ def feature_table(
     status_tie: Sequence[str] = (),
     check: bool = False,
     close_features: bool = False,
-) -> DataFrame:
-    """Base attributes, look-back counts, capacity, rest time, close source and batch index.
+) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Base attributes, and by name the blocks of the feature row: look-back counts, capacity, rest time, close source and batch index.
 
     Every scan is bounded by what targets booked from ``since`` to ``until``, both included, can reach. With
     ``check``, repeated order ids among targets raise. With ``close_features``, the trace of the status
@@ -85,12 +107,12 @@ def feature_table(
     capacity = widen(capacity_by_level(targets, nights, LEVELS, days), grid_names(["max_rmqty"], ""))
     close_source = latest_close_event(targets, status, status_tie).select("orderid", "eid_source")
     batch = batch_asof(base, index, index_keys, index_values).select("orderid", *index_values)
-    blocks = [any_date, same_date, capacity, close_source, batch]
+    blocks = {"any_date": any_date, "same_date": same_date, "capacity": capacity, "close_source": close_source, "batch": batch}
     if close_features:
         last = until and until + timedelta(days=horizon - 1)
         trace = close_transitions(status_backfill(whole_log, tie=status_tie, since=since, until=last))
-        blocks.append(_closed_time(targets, trace))
-    return assemble(base, *blocks)
+        blocks["closed_time"] = _closed_time(targets, trace)
+    return base, blocks
 
 
 def _closed_time(targets: DataFrame, trace: DataFrame) -> DataFrame:

@@ -102,3 +102,14 @@ def save_observed(
     save(df.observe(seen, *counts, *shares), target, partition_by)
     got = seen.get
     return {"total": got["total"], **{name: got[f"test_{name}"] for name in tests or {}}}, {c: got[f"null_{c}"] for c in columns}
+
+
+def save_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int) -> DataFrame:
+    """Write a catalog table below ``path``, bucketed and sorted by ``key``, and read it back.
+
+    Rows are dealt to the buckets before they are written, so a bucket is one file. Tables with equal buckets join on the key
+    without an exchange, in this run and any later one.
+    """
+    dealt = df.repartition(buckets, key)
+    dealt.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", path).format("parquet").saveAsTable(name)
+    return df.sparkSession.table(name)

@@ -8,7 +8,7 @@ from nightledger.plans.catalog import registered
 
 FOLDER = "/root/testdata/sf0.001"
 QUERIES = registered()
-TRAINED = {"gbt_score", "gbt_stump_score", "grid_search", "grid_search_stump"}
+TRAINED = {"gbt_score", "gbt_stump_score", "gbt_patience", "gbt_staged_losses", "grid_search", "grid_search_axes", "grid_search_stump"}
 PLANNED = sorted(set(QUERIES) - TRAINED)
 
 
@@ -46,3 +46,13 @@ def test_scan_reads_only_what_is_needed(spark):
 def test_filters_reach_the_scan(spark):
     plan = plan_of(QUERIES["null_rates"](spark, FOLDER))
     assert "EqualTo(o_orderstatus,F)" in plan
+
+
+def test_bucketed_blocks_join_without_an_exchange(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(QUERIES["feature_assembly_bucketed"](spark, FOLDER))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plan.count("SortMergeJoin") == 5 and "Exchange" not in plan and "Bucketed: true" in plan
