@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from nightledger.operators.evaluate import recall_at_precision
 from nightledger.operators.model import score, train_gbt
 from nightledger.session import cut_lineage
-from nightledger.sources.files import GRID_LOG, log_run, read_runs
+from nightledger.sources.files import GRID_LOG, log_run, read_grid_log, read_runs
 
 PARAMETERS = ("depth", "colsample", "subsample", "learning_rate")
 
@@ -114,7 +114,7 @@ def grid_search(
     if failed:
         raise RuntimeError(f"{len(failed)} of {len(combos)} runs failed, the first with {failed[0][0]}") from failed[0][1]
     if log is not None:
-        return read_runs(spark, log)
+        return read_grid_log(spark, log) if combos else read_runs(spark, log)
     return measured(combos, [run.result() for run in tried], floor, label, spark)
 
 

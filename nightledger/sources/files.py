@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -58,9 +58,20 @@ def write_features(df: DataFrame, path: str) -> None:
 
 
 def read_grid_log(spark: SparkSession, path: str, sep: str = ",", with_depth: bool = True) -> DataFrame:
-    """Sweep log without a header; the tab-separated kind has no depth column."""
-    schema = GRID_LOG if with_depth else GRID_LOG_NO_DEPTH
-    return spark.read.schema(schema).option("sep", sep).csv(path)
+    """Sweep log without a header, with the lines of ``log_run`` too; the tab-separated kind has no depth column."""
+    reader = spark.read.schema(GRID_LOG if with_depth else GRID_LOG_NO_DEPTH).option("sep", sep)
+    log = reader.csv(path)
+    return _or_none(lambda: log.unionByName(reader.csv(f"{path.rstrip('/')}/run-*")), log)
+
+
+def _or_none(read: Callable[[], DataFrame], none: DataFrame) -> DataFrame:
+    """What ``read`` gives, or ``none`` where there is nothing at its path."""
+    try:
+        return read()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return none
 
 
 def append_grid_log(df: DataFrame, path: str, sep: str = ",") -> None:
@@ -78,15 +89,8 @@ def log_run(run: DataFrame, path: str, name: str) -> None:
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    """The lines of all runs in a log, those of ``append_grid_log`` too; none where there is no log yet."""
-    log = spark.createDataFrame([], GRID_LOG)
-    for place in (path, f"{path.rstrip('/')}/run-*"):
-        try:
-            log = log.unionByName(read_grid_log(spark, place))
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-    return log
+    """``read_grid_log``, without a line where there is no log yet."""
+    return _or_none(lambda: read_grid_log(spark, path), spark.createDataFrame([], GRID_LOG))
 
 
 def write_csv(df: DataFrame, path: str) -> None:
