@@ -51,9 +51,17 @@ def _two_best(sums: DataFrame, groups: Sequence[str]) -> DataFrame:
 
 
 def capacity_by_level(
-    targets: DataFrame, nights: DataFrame, levels: Sequence[str] = LEVELS, days: int = 30, grain: str = "hour"
+    targets: DataFrame,
+    nights: DataFrame,
+    levels: Sequence[str] = LEVELS,
+    days: int = 30,
+    grain: str = "hour",
+    kept: DataFrame | None = None,
 ) -> DataFrame:
-    """Long form: (orderid, level, max_rmqty) for targets with at least one usable stay date."""
+    """Long form: (orderid, level, max_rmqty) for targets with at least one usable stay date.
+
+    ``kept`` adds the totals of days that ``nights`` lacks (see ``carried``).
+    """
     keys = entity_keys(levels)
     dated = ["effectdate", *keys]
     instant = nights.schema["order_ts"].dataType
@@ -66,6 +74,7 @@ def capacity_by_level(
         "rooms",
         "counted",
     )
+    earlier = earlier if kept is None else earlier.unionByName(kept)
     asked = by_level(
         targets.withColumns(
             {

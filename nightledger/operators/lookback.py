@@ -82,16 +82,23 @@ DAILY_MEASURES = ("ordnum", "full_ordnum", "force_ordnum", "force_full_ordnum")
 
 
 def same_stay_date_counts(
-    targets: DataFrame, nights: DataFrame, levels: Sequence[str] = LEVELS, days: int = 30, grain: str = "hour"
+    targets: DataFrame,
+    nights: DataFrame,
+    levels: Sequence[str] = LEVELS,
+    days: int = 30,
+    grain: str = "hour",
+    kept: DataFrame | None = None,
 ) -> DataFrame:
     """Orders for the target's stay date placed from ``days`` days back up to the order instant.
 
-    Long form: one row per (target order, level) with at least one earlier order.
+    Long form: one row per (target order, level) with at least one earlier order. ``kept`` adds the totals of
+    days that ``nights`` lacks (see ``carried``).
     """
     keys = ["effectdate", *entity_keys(levels)]
     earlier = by_level(
         nights.withColumns(order_measures()), levels, "effectdate", "order_ts", *EFDT_MEASURES
     )
+    earlier = earlier if kept is None else earlier.unionByName(kept)
     asked = by_level(
         targets.withColumn("since_ts", look_back_start(days, nights)),
         levels,
@@ -113,11 +120,13 @@ def any_stay_date_counts(
     levels: Sequence[str] = LEVELS,
     days: int = 30,
     measures: Sequence[str] = DAILY_MEASURES,
+    kept: DataFrame | None = None,
 ) -> DataFrame:
-    """Orders of the ``days`` days before the booking day, whatever their stay date. Long form."""
+    """Orders of the ``days`` days before the booking day, whatever their stay date. Long form; ``kept`` as above."""
     earlier = by_level(
         orders.withColumns(order_measures()).withColumn("ordd", F.to_date("order_ts")), levels, "ordd", *measures
     )
+    earlier = earlier if kept is None else earlier.unionByName(kept.select(*earlier.columns))
     asked = by_level(targets, levels, "orderid", "ordd")
     keys = entity_keys(levels)
     totals = daily_window_totals(earlier, asked, keys, "ordd", measures, days)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,7 @@ from nightledger.functions import calendar, codes, ratios
 from nightledger.operators import (
     batches,
     capacity,
+    carried,
     enrich,
     evaluate,
     lookback,
@@ -26,7 +28,7 @@ from nightledger.operators import (
     sweep,
 )
 from nightledger.plans import matrix
-from nightledger.plans.features import assemble, bucketed_blocks, feature_blocks, feature_table
+from nightledger.plans.features import assemble, bucketed_blocks, feature_blocks, feature_table, lookback_blocks
 from nightledger.session import cut_lineage, shared_path
 from nightledger.sources import adapters as src
 from nightledger.sources import files, tables
@@ -255,6 +257,27 @@ def feature_assembly_bucketed(spark: SparkSession, folder: str) -> DataFrame:
     return wide.select(*FEATURE_COLUMNS).withColumn("rest_time", F.round("rest_time", 6))
 
 
+# Where a run over the bookings ends and the next begins.
+RUNS = (date(1996, 7, 1), date(1998, 7, 1))
+
+
+def carried_features(spark: SparkSession, folder: str) -> DataFrame:
+    """Look-back counts and capacity of all targets, made in three runs, of which each reads its own orders and kept totals."""
+    orders, path = src.bookings(spark, folder), shared_path(spark)
+    carried.keep(orders.limit(0), path, files=1)
+    runs = []
+    for first, after in zip((SINCE.replace(year=1990), *RUNS), (*RUNS, None), strict=True):
+        kept = carried.kept_before(orders, path, first)
+        new = carried.new_orders(orders, first)
+        new = new if after is None else new.where(F.col("order_ts") < F.lit(after))
+        targets = cut_lineage(stay.select_targets(stay.stay_split(new), max(first, SINCE)))
+        runs.append(assemble(targets.select("orderid"), *lookback_blocks(targets, new, kept)))
+        if after:
+            carried.keep(new, path, files=1)
+    wide = reduce(DataFrame.unionByName, runs)
+    return wide.select(*[c for c in FEATURE_COLUMNS if c in wide.columns])
+
+
 def ratio_features(spark: SparkSession, folder: str) -> DataFrame:
     wide = ratios.with_ratios(_features(spark, folder), rule="zero_or_9999")
     return wide.select("orderid", *[F.round(c, 9).alias(c) for c in ratios.ratio_catalogue()])
@@ -625,6 +648,7 @@ def registered() -> dict[str, Query]:
         "batch_asof_any_hour": batch_asof_any_hour,
         "feature_assembly": feature_assembly,
         "feature_assembly_bucketed": feature_assembly_bucketed,
+        "carried_features": carried_features,
         "ratio_features": ratio_features,
         "booking_pipeline": booking_pipeline,
         "training_matrix": _matrix(matrix.ALL_LEVELS),

@@ -13,6 +13,7 @@ from nightledger.functions.calendar import rest_hours
 from nightledger.functions.ratios import LEVELS, safe_ratio
 from nightledger.operators.batches import batch_asof
 from nightledger.operators.capacity import capacity_by_level
+from nightledger.operators.carried import Kept, kept_before, new_orders
 from nightledger.operators.lookback import (
     DAILY_MEASURES,
     EFDT_MEASURES,
@@ -73,17 +74,21 @@ def feature_blocks(
     status_tie: Sequence[str] = (),
     check: bool = False,
     close_features: bool = False,
+    carried: str | None = None,
 ) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Base attributes, and by name the blocks of the feature row: look-back counts, capacity, rest time, close source and batch index.
 
     Every scan is bounded by what targets booked from ``since`` to ``until``, both included, can reach. With
     ``check``, repeated order ids among targets raise. With ``close_features``, the trace of the status
-    log adds ``closetimes``, ``closehours`` and ``close_hour_per``.
+    log adds ``closetimes``, ``closehours`` and ``close_hour_per``. With ``carried``, a folder that ``carried.keep`` wrote,
+    orders before ``since`` are not read: their kept totals take their place.
 
     Targets are a small share of the nights but every block starts from them, so
     they are written out once instead of being selected from the nights each time.
     """
+    kept = kept_before(orders, carried, since, LEVELS, days) if carried else None
     orders = _between(orders, "ordd", since - timedelta(days=days), until)
+    orders = new_orders(orders, since) if carried else orders
     whole_log = status
     status = _between(status, "effectdate", since, until and until + timedelta(days=horizon - 1))
     status = _before(status, until)
@@ -97,14 +102,7 @@ def feature_blocks(
         "orderid", "order_ts", "ordd", "effectdate", "room", "hotel", "masterhotelid", "masterbasicroomid"
     )
 
-    same_date = widen(
-        same_stay_date_counts(targets, nights, LEVELS, days), grid_names(EFDT_MEASURES, f"_efdt{days}d")
-    )
-    any_date = widen(
-        any_stay_date_counts(targets, orders, LEVELS, days, [*DAILY_MEASURES, "hold_ordnum"]),
-        {**grid_names(DAILY_MEASURES, f"_{days}d"), ("mhtl", "hold_ordnum"): "mhtl_hold_ordnum"},
-    )
-    capacity = widen(capacity_by_level(targets, nights, LEVELS, days), grid_names(["max_rmqty"], ""))
+    any_date, same_date, capacity = lookback_blocks(targets, orders, kept, days)
     close_source = latest_close_event(targets, status, status_tie).select("orderid", "eid_source")
     batch = batch_asof(base, index, index_keys, index_values).select("orderid", *index_values)
     blocks = {"any_date": any_date, "same_date": same_date, "capacity": capacity, "close_source": close_source, "batch": batch}
@@ -115,6 +113,26 @@ def feature_blocks(
     return base, blocks
 
 
+def lookback_blocks(
+    targets: DataFrame, orders: DataFrame, kept: Kept | None = None, days: int = 30
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Per target order: counts over any stay date, counts for its own, and capacity, at all levels.
+
+    ``kept`` stands for the days before those of ``orders``.
+    """
+    nights = stay_split(orders)
+    any_date = any_stay_date_counts(
+        targets, orders, LEVELS, days, [*DAILY_MEASURES, "hold_ordnum"], kept=kept and kept.any_date
+    )
+    same_date = same_stay_date_counts(targets, nights, LEVELS, days, kept=kept and kept.same_date)
+    capacity = capacity_by_level(targets, nights, LEVELS, days, kept=kept and kept.capacity)
+    return (
+        widen(any_date, {**grid_names(DAILY_MEASURES, f"_{days}d"), ("mhtl", "hold_ordnum"): "mhtl_hold_ordnum"}),
+        widen(same_date, grid_names(EFDT_MEASURES, f"_efdt{days}d")),
+        widen(capacity, grid_names(["max_rmqty"], "")),
+    )
+
+
 def _closed_time(targets: DataFrame, trace: DataFrame) -> DataFrame:
     """How often and how long the target's room was closed for its stay date."""
     hours = close_hours(targets, trace).select("orderid", "closehours")

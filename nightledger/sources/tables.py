@@ -69,13 +69,13 @@ def save(df: DataFrame, target: str, partition_by: tuple[str, ...] = ()) -> None
         writer.saveAsTable(target)
 
 
-def refresh_days(df: DataFrame, path: str, column: str = "d") -> None:
+def refresh_days(df: DataFrame, path: str, column: str = "d", files: int = 8) -> None:
     """Put the days of ``df`` into a table partitioned by day, in place of what it has of them.
 
     Other days are not touched, and the same refresh again gives the same table. A day without a row in ``df`` keeps what it
-    has. Rows are dealt by day and a hash, so that a large day is written by several tasks.
+    has. Rows are dealt by day and a hash, so that a large day is written by several tasks, as ``files`` files.
     """
-    spread = df.repartition(column, F.pmod(F.xxhash64(*[c for c in df.columns if c != column]), F.lit(8)))
+    spread = df.repartition(column, F.pmod(F.xxhash64(*[c for c in df.columns if c != column]), F.lit(files)))
     spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
 
 
