@@ -257,12 +257,12 @@ def feature_assembly_bucketed(spark: SparkSession, folder: str) -> DataFrame:
     return wide.select(*FEATURE_COLUMNS).withColumn("rest_time", F.round("rest_time", 6))
 
 
-# Where a run over the bookings ends and the next begins.
-RUNS = (date(1996, 7, 1), date(1998, 7, 1))
+# Where one run over the bookings ends and the next begins.
+RUNS = (date(1998, 1, 1),)
 
 
 def carried_features(spark: SparkSession, folder: str) -> DataFrame:
-    """Look-back counts and capacity of all targets, made in three runs, of which each reads its own orders and kept totals."""
+    """Look-back counts and capacity of all targets, made in two runs, of which each reads its own orders and kept totals."""
     orders, path = src.bookings(spark, folder), shared_path(spark)
     carried.keep(orders.limit(0), path, files=1)
     runs = []
