@@ -9,6 +9,10 @@ key, offset and size of every block. ``lookup`` takes keys to the file of their
 first keys, to blocks by binary search over the directory, and reads and opens these blocks only. ``fetch`` reads the
 records' ranges, in file order.
 
+Records are read by as many tasks as their bytes ask for, not those of the references to them, and the index has a file per
+``INDEX_LINES`` captures; both have at least one task per core. Pages have no time of capture, so all records of a run carry
+the time at which it began as ``WARC-Date``.
+
 Files are named by chance and count only once the table that lists them is committed, so a task that is lost or runs twice leaves
 no trace in results. Folders are Spark paths that all executors share; files go through ``pyarrow.fs``.
 
@@ -28,6 +32,7 @@ import zlib
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from datetime import UTC, datetime
 from urllib.parse import quote
 
 import numpy as np
@@ -41,6 +46,8 @@ from nightledger.llm.common import NULL_ID, rows_of, shared_folder, written
 BLOCK = 256
 ARCHIVE_BYTES = 1 << 30
 GAP = 64 << 10
+TASK_BYTES = 64 << 20
+INDEX_LINES = 1 << 19
 CAPTURES = "url_key string, page_key long, archive string, start long, size long"
 RECORD = (
     "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary"
@@ -72,12 +79,17 @@ def _fields(pairs: list[tuple[str, object]]) -> bytes:
     return "".join(f"{k}: {v}\r\n" for k, v in pairs).encode()
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None) -> bytes:
-    """One WARC/1.1 record as a gzip member; a revisit has no block but tells size and digest of the payload."""
+def warc_date(when: datetime) -> str:
+    return when.astimezone(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
+
+
+def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, when: datetime | None = None) -> bytes:
+    """One WARC/1.1 record as a gzip member, dated ``when`` or now; a revisit has no block but tells size and digest of the payload."""
     kind = "response" if refers_to is None else "revisit"
     head = [
         ("WARC-Type", kind),
         ("WARC-Record-ID", f"<urn:page:{'' if page_id is None else page_id}>"),
+        ("WARC-Date", warc_date(when or datetime.now(UTC))),
         *([] if url is None else [("WARC-Target-URI", url if url.isprintable() else quote(url, safe="%/:?#&=+,;@"))]),
         ("WARC-Payload-Digest", f"sha1:{digest(payload)}"),
         ("WARC-Payload-Length", len(payload)),
@@ -127,8 +139,17 @@ def with_responses(pages: DataFrame, least: int) -> DataFrame:
     return base.join(copies, "hashed", "left").select("page_id", "page_key", "url", "html", response.alias("response"))
 
 
-def write_archives(pages: DataFrame, folder: str, *, least: int = 0) -> DataFrame:
-    """Write the archives below ``folder`` and return the captures: key, archive, start and size of every record."""
+def _tasks(df: DataFrame, amount: int, each: int) -> int:
+    """Enough tasks for ``each`` of the amount to a task, and one per core at least."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-amount // each))
+
+
+def write_archives(pages: DataFrame, folder: str, *, least: int = 0, when: datetime | None = None) -> DataFrame:
+    """Write the archives below ``folder`` and return the captures: key, archive, start and size of every record.
+
+    Records are dated ``when``, or else the time of this call.
+    """
+    dated = when or datetime.now(UTC)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, root = _open(folder)
@@ -141,7 +162,7 @@ def write_archives(pages: DataFrame, folder: str, *, least: int = 0) -> DataFram
                         out.close()
                     name, at = f"{uuid.uuid4().hex}.warc.gz", 0
                     out = files.open_output_stream(f"{root}/{name}", compression=None)
-                member = record(page, url, html.encode(), response)
+                member = record(page, url, html.encode(), response, dated)
                 out.write(member)
                 rows.append((url_key(url), key, name, at, len(member)))
                 at += len(member)
@@ -200,7 +221,7 @@ def build_index(captures: DataFrame, folder: str) -> Index:
 
     files, root = _open(folder)
     files.create_dir(root, recursive=True)
-    ranged = captures.repartitionByRange("url_key", "page_key").sortWithinPartitions("url_key", "page_key", "archive", "start")
+    ranged = captures.repartitionByRange(_tasks(captures, captures.count(), INDEX_LINES), "url_key", "page_key").sortWithinPartitions("url_key", "page_key", "archive", "start")
     made = written(ranged.mapInArrow(write, "file string, url_key string, page_key long"), "files").collect()
     made = sorted((r["url_key"].encode(), r["page_key"], r["file"]) for r in made)
     return Index(folder, [f for *_, f in made], [(k, p) for k, p, _ in made])
@@ -262,12 +283,15 @@ def lookup(keys: DataFrame, index: Index) -> DataFrame:
             )
 
     wanted = keys.select("url_key", "page_key").mapInArrow(placed, "url_key string, page_key long, file int")
-    wanted = wanted.repartitionByRange("file", "url_key", "page_key").sortWithinPartitions("file", "url_key", "page_key")
+    wanted = wanted.repartitionByRange(_tasks(keys, len(index.files), 1), "file", "url_key", "page_key").sortWithinPartitions("file", "url_key", "page_key")
     return wanted.mapInArrow(searched, CAPTURES)
 
 
 def fetch(captures: DataFrame, folder: str, *, with_payload: bool = True) -> DataFrame:
-    """The records at the given places; neighbours in an archive are read at once."""
+    """The records at the given places; neighbours in an archive are read at once.
+
+    The places are written out first: their sum of bytes gives the number of tasks, which adaptive execution doesn't merge.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, root = _open(folder)
@@ -293,7 +317,9 @@ def fetch(captures: DataFrame, folder: str, *, with_payload: bool = True) -> Dat
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
                 done = last + 1
 
-    ordered = captures.select("archive", "start", "size").repartitionByRange("archive", "start").sortWithinPartitions("archive", "start")
+    places = written(captures.select("archive", "start", "size"), "places")
+    size = places.agg(F.sum("size")).first()[0] or 0
+    ordered = places.repartitionByRange(_tasks(places, size, TASK_BYTES), "archive", "start").sortWithinPartitions("archive", "start")
     return ordered.mapInArrow(read, RECORD)
 
 

@@ -1,6 +1,7 @@
 import base64
 import gzip
 import hashlib
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import functions as F
 
@@ -68,5 +69,31 @@ def test_records_are_gzip_members():
     assert text.count(b"WARC/1.1\r\n") == 2 and b"WARC-Refers-To: <urn:page:7>" in text
 
 
+def test_records_have_the_fields_that_the_format_asks_for():
+    for refers_to in (None, 9):
+        when = datetime(2026, 1, 2, 3, 4, 5, tzinfo=timezone(timedelta(hours=2)))
+        head, _, rest = gzip.decompress(warc_index.record(8, "http://a.org/", b"x", refers_to, when)).partition(b"\r\n\r\n")
+        version, *lines = head.decode().split("\r\n")
+        fields = dict(line.split(": ", 1) for line in lines)
+        assert version == "WARC/1.1" and fields["WARC-Date"] == "2026-01-02T01:04:05Z"
+        assert {"WARC-Record-ID", "WARC-Type", "Content-Length", "WARC-Target-URI"} <= set(fields)
+        assert rest[int(fields["Content-Length"]) :] == b"\r\n\r\n"
+        assert ("WARC-Profile" in fields) == (refers_to is not None)
+
+
+def test_records_are_read_by_as_many_tasks_as_their_bytes_ask_for(spark, monkeypatch):
+    rows = [(k, f"http://h{k % 5}.org/{k}", str(k) + "".join(chr(33 + (k * i * 7919) % 90) for i in range(900))) for k in range(300)]
+    folder = shared_folder(spark)
+    captures = warc_index.write_archives(pages(spark, rows), f"{folder}/a")
+    total = captures.agg(F.sum("size")).first()[0]
+    monkeypatch.setattr(warc_index, "TASK_BYTES", total // 40)
+    tasks = {r[0] for r in warc_index.fetch(captures, f"{folder}/a").select(F.spark_partition_id()).collect()}
+    assert 30 <= len(tasks) <= 41
+    monkeypatch.setattr(warc_index, "INDEX_LINES", 10)
+    index = warc_index.build_index(captures, f"{folder}/i")
+    assert 20 <= len(index.files) <= 30
+    assert sorted(map(tuple, warc_index.lookup(captures, index).collect())) == sorted(map(tuple, captures.collect()))
+
+
 def test_empty_table(spark):
     assert warc_index.archive_round_trip(pages(spark, [])).count() == 0
