@@ -283,9 +283,31 @@ def ratio_features(spark: SparkSession, folder: str) -> DataFrame:
     return wide.select("orderid", *[F.round(c, 9).alias(c) for c in ratios.ratio_catalogue()])
 
 
-def _matrix(columns: matrix.Columns) -> Query:
+def _supplied(wide: DataFrame) -> DataFrame:
+    """Counts that a caller adds to the feature row."""
+    k = F.col("orderid")
+    return wide.withColumns(
+        {
+            "timelag_last_close": k % 48,
+            "close_roomcnt_hpp": k % 4,
+            "close_roomcnt_htl": k % 3,
+            "room_cnt_hpp": k % 5,
+            "room_cnt_htl": k % 2,
+            "close_roomcnt_elongqunar": k % 3,
+            "room_cnt_elongqunar": k % 7,
+            "noshownum": F.when(k % 5 > 0, k % 3),
+            "roomefdtnum": k % 6,
+            "success_pct": (k % 100) / 100,
+            "noroom_ordnum": k % 9,
+            "capp": (k % 3).cast("int"),
+        }
+    )
+
+
+def _matrix(columns: matrix.Columns, supplied: bool = False) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
         wide = ratios.with_ratios(_features(spark, folder, close_features=True), rule="zero_or_9999")
+        wide = _supplied(wide) if supplied else wide
         wide = matrix.with_derived(wide, HOLIDAYS)
         low, high = SPLIT["train"]
         slice_ = (F.col("ordd") >= F.lit(low)) & (F.col("ordd") < F.lit(high))
@@ -568,6 +590,53 @@ def refreshed_days(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def status_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Status changes of a range of days, from a log partitioned by day."""
+    path = shared_path(spark)
+    log = src.status_log(spark, folder).withColumn("d", F.to_date("operatetime"))
+    tables.refresh_days(log, path, files=1)
+    ranged = tables.scan_range(tables.read_table(spark, path), date(2024, 1, 5), date(2024, 1, 20), closed=True)
+    return ranged.groupBy("d").agg(F.count(F.lit(1)).alias("changes"), F.count("new_roomstatus").alias("known"))
+
+
+def batch_hours(spark: SparkSession, folder: str) -> DataFrame:
+    """Batches of a range of days within hours."""
+    index = src.hourly_index(spark, folder)
+    return tables.scan_batches(index, date(2024, 1, 5), date(2024, 1, 20), first_hour=6, last_hour=20)
+
+
+FEATURE_FILE = "orderid bigint, price double, ordd date, kind string"
+
+
+def feature_file(spark: SparkSession, folder: str) -> DataFrame:
+    """Features written as tab-separated text, with missing values, and read again."""
+    k, path = F.col("o_orderkey"), shared_path(spark)
+    made = src.table(spark, folder, "orders").select(
+        k.alias("orderid"),
+        F.when(k % 4 > 0, F.col("o_totalprice")).alias("price"),
+        F.to_date("o_orderdate").alias("ordd"),
+        F.when(k % 3 > 0, F.col("o_orderpriority")).alias("kind"),
+    )
+    files.write_features(made, path)
+    return files.read_features(spark, path, FEATURE_FILE)
+
+
+def grid_log_file(spark: SparkSession, folder: str) -> DataFrame:
+    """A sweep log appended to twice, as text without a header."""
+    log, path = src.grid_log(spark, folder), shared_path(spark)
+    for part in (log.where("depth < 5"), log.where("depth >= 5")):
+        files.append_grid_log(part, path)
+    return files.read_grid_log(spark, path)
+
+
+def matrix_export(spark: SparkSession, folder: str) -> DataFrame:
+    """A slice without its day and label, exported with a header and read again."""
+    rows = _sliced(_stump_rows(spark, folder).withColumn("forced", F.col("forced").cast("int")))
+    path = shared_path(spark)
+    files.write_csv(prep.drop_columns(rows.where("slice = 'train'"), "ordd", "isbookable", "slice"), path)
+    return spark.read.schema("orderid bigint, forced int").option("header", True).csv(path)
+
+
 def observed_save(spark: SparkSession, folder: str) -> DataFrame:
     """What was counted while the bookings were written."""
     tests = {"force_orders": F.col("isforceorder") == "T", "recent": F.col("order_ts") >= F.lit(SINCE)}
@@ -654,6 +723,8 @@ def registered() -> dict[str, Query]:
         "training_matrix": _matrix(matrix.ALL_LEVELS),
         "training_matrix_standardised": _matrix(matrix.STANDARDISED),
         "training_matrix_dummies": _matrix(matrix.DUMMIES),
+        "training_matrix_no_show": _matrix(matrix.DUMMIES, supplied=True),
+        "training_matrix_success": _matrix(matrix.SUCCESS, supplied=True),
         "hold_daily": hold_daily,
         "hold_ratio_by_period": hold_ratio_by_period,
         "capacity_imputation": capacity_imputation,
@@ -691,6 +762,11 @@ def registered() -> dict[str, Query]:
         "recall_surface": recall_surface,
         "null_rates": null_rates,
         "refreshed_days": refreshed_days,
+        "status_days": status_days,
+        "batch_hours": batch_hours,
+        "feature_file": feature_file,
+        "grid_log_file": grid_log_file,
+        "matrix_export": matrix_export,
         "observed_save": observed_save,
         "column_profile": column_profile,
         "checked_features": checked_features,

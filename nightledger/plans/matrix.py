@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from nightledger.functions.calendar import HOLIDAYS_2016, days_to_holiday, is_weekend
 from nightledger.functions.codes import bounded_code
-from nightledger.functions.ratios import LEVELS, accepted
+from nightledger.functions.ratios import LEVELS, accepted, caller_ratios
 from nightledger.operators.prep import dummies, fit_categories, fit_standardizer, standardize
 from nightledger.session import stored
 
@@ -20,11 +20,27 @@ SCOPES = ("30d", "efdt30d")
 
 @dataclass(frozen=True)
 class Columns:
-    """Columns that go in as they are, columns that are standardised, and columns that are coded."""
+    """Columns that go in as they are, columns that are standardised, and columns that are coded.
+
+    ``supplied`` go in as they are, and ``supplied_coded`` are coded, where the features have them: no step here makes them.
+    """
 
     direct: tuple[str, ...]
     scaled: tuple[str, ...] = ()
     coded: tuple[str, ...] = ()
+    supplied: tuple[str, ...] = ()
+    supplied_coded: tuple[str, ...] = ()
+
+    def given(self, available: Sequence[str]) -> Columns:
+        """The same with what the caller supplies among the columns that are needed."""
+        have = set(available)
+        return replace(
+            self,
+            direct=(*self.direct, *(c for c in self.supplied if c in have)),
+            coded=(*self.coded, *(c for c in self.supplied_coded if c in have)),
+            supplied=(),
+            supplied_coded=(),
+        )
 
 
 # The columns that models train on. Names are level, measure and scope.
@@ -92,6 +108,28 @@ DUMMIES = Columns(
         "closetimes",
     ),
     coded=("star", "goldstar", "defrecommend", "isweekend", "ord_hour"),
+    supplied=("timelag_last_close", "hpphtl_close_pct", "elongqunar_close_pct", "noshownum", "noshowratio"),
+    supplied_coded=("capp",),
+)
+SUCCESS = Columns(
+    direct=(
+        "holidaydt",
+        *(f"{level}_fullpct_{scope}" for scope in SCOPES for level in LEVELS),
+        *(f"{level}_rmqty_occupied" for level in LEVELS),
+        "cityi",
+        "zonei",
+        "zonestari",
+        "rest_time",
+        "mhtl_holdpct",
+        *(f"{level}_force_fullpct_30d" for level in LEVELS),
+        *(f"{level}_ordnum_{scope}" for scope in SCOPES for level in LEVELS),
+        *(f"{level}_force_ordnum_30d" for level in LEVELS),
+        "close_hour_per",
+        "closetimes",
+    ),
+    coded=("star", "goldstar", "defrecommend", "isweekend"),
+    supplied=("timelag_last_close", "hpphtl_close_pct", "elongqunar_close_pct", "success_pct", "noroom_ordnum"),
+    supplied_coded=("capp",),
 )
 
 
@@ -102,7 +140,8 @@ def with_derived(
 ) -> DataFrame:
     """Columns that the matrices take from others; those that the features already have stay, but for the bounded code.
 
-    Recommendation codes outside of 1 to 9 become 0.
+    Ratios over counts that only some callers supply come from those that are there. Recommendation codes outside of 1 to 9
+    become 0.
     """
     c = F.col
     derived: Mapping[str, Column] = {
@@ -110,6 +149,7 @@ def with_derived(
         "ordadvanceday": c("ordadvanceday2"),
         "isweekend": is_weekend(c("dayofweek")),
         "holidaydt": days_to_holiday(c(holiday_of), holidays),
+        **caller_ratios(features.columns),
     }
     new = {name: column for name, column in derived.items() if name not in features.columns}
     return features.withColumns({**new, "defrecommend": bounded_code(c("defrecommend"))})
@@ -128,6 +168,7 @@ def training_matrix(
     ``categories`` can state those of a column instead. A category not seen there gives zeros. The
     needed columns are written once: fitting and encoding both read them.
     """
+    columns = columns.given(features.columns)
     used = dict.fromkeys((*keep, *columns.direct, *columns.scaled, *columns.coded))
     wide = features.select(*used, accepted(F.col("isnoroom")).alias("isbookable"), fit_on.alias("_fit"))
     wide = stored(wide)

@@ -164,3 +164,11 @@ def test_a_frequent_room_is_split_in_the_mode_join(spark, split_joins):
     )
     out = enrich.correct_to_mode(rows, "room", "balancetype")
     assert share_of_largest_task(spark, out) < 0.3
+
+
+def test_supplied_columns_go_in_where_the_caller_has_them():
+    none = matrix.SUCCESS.given(["star", "htl_fullpct_30d"])
+    assert (none.direct, none.coded) == (matrix.SUCCESS.direct, matrix.SUCCESS.coded)
+    some = matrix.DUMMIES.given(["noshownum", "capp", "timelag_last_close"])
+    assert some.direct == (*matrix.DUMMIES.direct, "timelag_last_close", "noshownum")
+    assert some.coded == (*matrix.DUMMIES.coded, "capp") and not some.supplied and not some.supplied_coded
