@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from nightledger.operators import carried, stay
 from nightledger.operators.lookback import order_measures
-from nightledger.plans.features import assemble, lookback_blocks
+from nightledger.plans.features import assemble, feature_table, lookback_blocks
+from nightledger.sources import tables
 from tests.test_timeline import BOOKING, random_bookings
 
 FIRST = date(2016, 3, 1)
@@ -85,3 +86,18 @@ def test_empty_table(spark, tmp_path):
     carried.keep(none, f"file://{tmp_path}/kept")
     assert wide(none, carried.kept_before(none, f"file://{tmp_path}/kept", FIRST)).count() == 0
     assert set(carried.KEPT_DAILY) <= set(order_measures())
+
+
+def test_feature_row_from_kept_totals(spark, orders, tmp_path):
+    since, folder = date(2016, 4, 8), f"file://{tmp_path}/kept"
+    level = orders.where("ordd = to_date(order_ts)").withColumn("room", F.lit(1)).withColumn("freesale", F.lit("F"))
+    carried.keep(level.where(F.col("order_ts") < F.lit(since)), folder, files=1)
+    log, index = spark.createDataFrame([], tables.STATUS_LOG), spark.createDataFrame([], tables.BATCH_INDEX)
+    none = spark.createDataFrame([], tables.HOTELS), spark.createDataFrame([], tables.ROOMS)
+
+    def features(of, **more):
+        wide = feature_table(of, *none, log, index, since, **more)
+        return rows_of(wide.select("orderid", *[c for c in wide.columns if "30d" in c or "max_rmqty" in c]))
+
+    later = level.where(F.col("order_ts") >= F.lit(since))
+    assert features(later, carried=folder) == features(level) != features(later)
