@@ -6,8 +6,10 @@ count sketch of fixed size that has seen every shingle, then by hash. Two sets w
 threshold share a shingle among the first ``n - ceil(t * n) + 1`` of each, so nodes meet on these prefixes only.
 
 Where nodes meet, the length filter (sizes within the threshold) and the positional filter (what may still follow the
-first common shingle) drop pairs; before two sets are compared, the suffix filter bounds their difference by
-counts per range of hashes. Each pair is compared once, on whole sets.
+first common shingle) drop pairs. Every node has a short signature, the parities of its shingles per hash remainder; bits that
+differ bound the difference of two sets, and only pairs that this bound lets through bring their texts together. Before two
+sets are compared, the suffix filter bounds their difference by counts per range of hashes. Each pair is compared
+once, on whole sets.
 
 A shingle that k nodes share makes no k * k pairs. First every node is paired with its neighbour in size, with the
 smallest node it could link to and with the node that holds the shingle earliest in its order; the components of the links
@@ -57,6 +59,8 @@ RUN_BYTES = 8 << 20
 BLOCK_SETS = 256
 BLOCK_SHINGLES = 1 << 16
 COLUMNS = 4096
+LEAST_BITS = 256
+BITS = 1 << 23
 
 
 def shingles(texts: list[bytes] | pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -85,13 +89,35 @@ def nodes(h: np.ndarray, first: np.ndarray) -> np.ndarray:
     return mixed((total[first[1:]] - total[first[:-1]]) + np.diff(first).astype(np.uint64)).view(np.int64)
 
 
+def signatures(h: np.ndarray, first: np.ndarray) -> pa.Array:
+    """Per set whether an odd number of its shingles falls on each remainder, as bits: at least as many as shingles, a power of two."""
+    n = np.diff(first)
+    width = np.maximum(LEAST_BITS, 1 << np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64))
+    start = np.concatenate([[0], np.cumsum(width)])
+    doc = np.repeat(np.arange(len(n)), n)
+    place = start[doc] + (h & (width[doc] - 1).astype(np.uint64)).astype(np.int64)
+    bits = np.packbits((np.bincount(place, minlength=start[-1]) & 1).astype(np.uint8))
+    ends = pa.py_buffer((start >> 3).astype(np.int32).tobytes())
+    return pa.Array.from_buffers(pa.binary(), len(n), [None, ends, pa.py_buffer(bits.tobytes())])
+
+
+def signature_gap(a: bytes, b: bytes) -> int:
+    """At least so many shingles are in one of two sets only: remainders that hold an odd number of these."""
+    if len(a) < len(b):
+        a, b = b, a
+    x = int.from_bytes(a, "little")
+    for half in (len(a) >> i for i in range(1, (len(a) // len(b)).bit_length())):
+        x = (x >> (8 * half)) ^ (x & ((1 << (8 * half)) - 1))
+    return (x ^ int.from_bytes(b, "little")).bit_count()
+
+
 def _cell(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(20)).astype(np.int64) & (SKETCH - 1)
 
 
 def profile(base: DataFrame, size: int) -> DataFrame:
-    """Per document the size and hash of its set; and per task, in rows with a ``slice``, its part of the sketch."""
-    kind = "doc_id long, k_id long, k_text long, n long, node long, slice int, salt int, counts binary"
+    """Per document the size, hash and signature of its set; and per task, in rows with a ``slice``, its part of the sketch."""
+    kind = "doc_id long, k_id long, k_text long, n long, node long, bits binary, slice int, salt int, counts binary"
 
     def profiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(SKETCH, np.int64)
@@ -102,10 +128,11 @@ def profile(base: DataFrame, size: int) -> DataFrame:
             node = pa.array(nodes(h, first), pa.int64(), mask=n == 0)
             empty = [pa.nulls(len(n), t) for t in (pa.int32(), pa.int32(), pa.binary())]
             columns = [batch.column(c).cast(pa.int64()) for c in ("doc_id", "k_id", "k_text")]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(n.astype(np.int64)), node, *empty], names=[x.split()[0] for x in kind.split(", ")])
+            bits = signatures(h, first)
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(n.astype(np.int64)), node, bits, *empty], names=[x.split()[0] for x in kind.split(", ")])
         if counts.any():
             salt = uuid.uuid4().int % 64
-            none = [pa.nulls(SLICES, pa.int64())] * 5
+            none = [*[pa.nulls(SLICES, pa.int64())] * 5, pa.nulls(SLICES, pa.binary())]
             data = pa.array([packed(x) for x in counts.reshape(SLICES, -1)], pa.binary())
             at = [pa.array(range(SLICES), pa.int32()), pa.array([salt] * SLICES, pa.int32())]
             yield pa.RecordBatch.from_arrays([*none, *at, data], names=[x.split()[0] for x in kind.split(", ")])
@@ -244,6 +271,42 @@ def suffix_gap(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.abs(a - b).sum())
 
 
+def near(pairs: DataFrame, stands: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of nodes whose signatures allow for the threshold: a few tens of bytes a node travel, no text."""
+
+    def allow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+            most = n - 2 * -(-percent * n // (100 + percent))
+            both = zip(batch.column("bits_a").to_pylist(), batch.column("bits_b").to_pylist(), strict=True)
+            keep = pa.array([signature_gap(x, y) <= m for (x, y), m in zip(both, most.tolist(), strict=True)], pa.bool_())
+            yield batch.select(["a", "b"]).filter(keep)
+
+    left, right = (stands.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}")) for c in "ab")
+    return written(pairs.join(left, "a").join(right, "b").mapInArrow(allow, "a long, b long"), "near")
+
+
+def ends_of(pairs: DataFrame) -> DataFrame:
+    """The nodes of the pairs."""
+    return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+
+
+def texts_of(base: DataFrame, stands: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Text of the document that stands for each of ``nodes``.
+
+    A bit map of fixed size over the keys of these documents goes to every task first, so that of the others only those
+    that pass by chance are shuffled.
+    """
+    wanted = written(stands.join(nodes, "node", "left_semi").select("node", "k_id", "k_text"), "wanted")
+    spot = F.pmod(F.xxhash64("k_id", "k_text"), F.lit(BITS))
+    word, place = F.shiftright(spot, 6).cast("int"), (spot % 64).cast("int")
+    marks = wanted.groupBy(word.alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(pmod(xxhash64(k_id, k_text), 64) as int))")).alias("marks"))
+    rows = base.select("k_id", "k_text", "text", word.alias("word"), place.alias("place")).join(written(marks, "marks"), "word")
+    rows = rows.where(F.getbit("marks", F.col("place")) == 1)
+    texts = rows.select("k_id", "k_text", squeezed("text").alias("text")).join(wanted, ["k_id", "k_text"])
+    return written(texts.groupBy("node").agg(F.first("text").alias("text")), "texts")
+
+
 def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) of nodes whose sets reach the threshold."""
 
@@ -440,7 +503,7 @@ def _ends(x: list[np.ndarray], y: list[np.ndarray], hit: np.ndarray) -> tuple[np
 
 
 def resolved(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, int]:
-    """Rows with their node; nodes with label, key of the first of it, size and rows; meetings; texts of nodes that meet; buckets."""
+    """Rows with their node; nodes with label, key of the first of it, size and rows; meetings; texts of nodes with near ones; buckets."""
     base = keyed(docs)
     count = buckets(text_bytes(docs), 16 << 20)
     profiled = profile(base, size)
@@ -449,14 +512,16 @@ def resolved(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataF
 
     pairs = written(met.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")).distinct(), "pairs")
     # one document stands for a node; only nodes that meet others are ever compared
-    stands = rows.where("node is not null").groupBy("node").agg(F.min(F.struct("k_id", "k_text")).alias("k"))
+    stands = profiled.where("slice is null and node is not null").groupBy("node").agg(F.min(F.struct("k_id", "k_text", "n", "bits")).alias("k"))
     meeting = met.where("other is null").select("node").distinct()
-    stands = written(stands.join(meeting, "node").select("node", "k.k_id", "k.k_text"), "stands")
-    texts = base.select("k_id", "k_text", squeezed("text").alias("text")).join(stands, ["k_id", "k_text"])
-    texts = written(texts.groupBy("node").agg(F.first("text").alias("text")), "texts")
-
-    links = written(verified(pairs, texts, size, percent), "links")
-    more = written(still_apart(met, components(links), percent).join(pairs, ["a", "b"], "left_anti"), "more")
+    stands = written(stands.join(meeting, "node").select("node", "k.*"), "stands")
+
+    first = near(pairs, stands, percent)
+    texts = texts_of(base, stands, ends_of(first))
+    links = written(verified(first, texts, size, percent), "links")
+    more = still_apart(met, components(links), percent).join(pairs, ["a", "b"], "left_anti")
+    more = near(written(more, "more"), stands, percent)
+    texts = texts.unionByName(texts_of(base, stands, ends_of(more).join(texts, "node", "left_anti")))
     links = links.unionByName(written(verified(more, texts, size, percent), "links"))
     labels = components(links)
 

@@ -147,3 +147,29 @@ def test_links_match_sql(spark):
 
 def test_links_of_an_empty_table(spark):
     assert jaccard_join.link_numbers(spark.createDataFrame([], EMPTY)).count() == 0
+
+
+def test_signatures_bound_the_difference_of_sets():
+    draw = np.random.default_rng(3)
+    for size in (1, 7, 300, 2100):
+        base = np.unique(draw.integers(0, 2**63, size).astype(np.uint64))
+        some = [base, base[: -(-len(base) * 9 // 10)], np.unique(draw.integers(0, 2**63, size // 3).astype(np.uint64)), base[:0]]
+        first = np.concatenate([[0], np.cumsum([len(x) for x in some])])
+        bits = jaccard_join.signatures(np.concatenate(some), first).to_pylist()
+        for i, x in enumerate(some):
+            assert jaccard_join.signature_gap(bits[i], bits[i]) == 0
+            for j, y in enumerate(some):
+                assert jaccard_join.signature_gap(bits[i], bits[j]) <= len(np.setxor1d(x, y))
+
+
+def test_texts_travel_only_for_near_pairs(spark, monkeypatch):
+    """Texts that share a rare shingle and nothing else meet, but their texts are not brought together."""
+    draw = random.Random(8)
+    shared = "one rare run of five"
+    rows = [(i, shared + " " + " ".join(f"w{draw.randrange(10**6)}" for _ in range(60))) for i in range(40)]
+    rows += [(100 + i, edited(draw, [f"x{k}" for k in range(80)], i)) for i in range(3)]
+    compared = []
+    real = jaccard_join.verified
+    monkeypatch.setattr(jaccard_join, "verified", lambda pairs, texts, *more: compared.append(texts.count()) or real(pairs, texts, *more))
+    assert got(spark, rows) == brute(rows)
+    assert max(compared) <= 3
