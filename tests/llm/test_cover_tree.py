@@ -1,6 +1,9 @@
 """Near-duplicate vectors against all cosines."""
 
 import math
+import threading
+from contextlib import contextmanager, suppress
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -157,3 +160,95 @@ def test_an_empty_table(spark):
     assert got.columns == ["vec_id", "n_links", "component_id", "kept"] and got.count() == 0
     only = cover_tree.near_vectors(frame(spark, ODD[:6])).collect()
     assert sorted(map(tuple, only)) == [(i, 0, i, True) for i in range(1, 7)]
+
+
+@contextmanager
+def disk_watched(spark):
+    """Gives a list that gets the bytes of shuffles and of tables written between steps, again and again."""
+    dirs = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    folders = [Path(d) for d in [*dirs, spark.conf.get("spark.checkpoint.dir").removeprefix("file://")]]
+    seen, over = [], threading.Event()
+
+    def now():
+        total = 0
+        for p in (p for d in folders for p in d.rglob("*")):
+            with suppress(OSError):  # it may have gone
+                total += p.lstat().st_size if p.is_file() else 0
+        seen.append(total)
+
+    def watch():
+        while not over.wait(0.05):
+            now()
+
+    now()
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    try:
+        yield seen
+    finally:
+        over.set()
+        watcher.join()
+
+
+def test_leaves_that_meet_in_all_pairs_take_disk_in_proportion_to_their_vectors(spark, monkeypatch):
+    monkeypatch.setattr(cover_tree, "LEAF_BYTES", 1)
+    draw = np.random.default_rng(12)
+    x = draw.standard_normal((3000, 64)).astype(np.float32)
+    x[1:1500:50] = x[:1500:50] * 1.5 + 0.1
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    docs = frame(spark, rows).repartition(4)
+    small = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as leaves of full size are above it
+    try:
+        with disk_watched(spark) as disk:
+            got = cover_tree.near_vectors(docs).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", small)
+    assert max(disk) - disk[0] < 12 * x.nbytes
+    assert sorted(map(tuple, got), key=str) == directly(rows)
+
+
+@pytest.mark.parametrize("dim", [6, 40])
+def test_two_leaves_sorted_along_their_line_lose_no_link(dim):
+    draw = np.random.default_rng(dim)
+    u = cover_tree.units(draw.standard_normal((4000, dim)))
+    one, two = u[u[:, 0] > 0.05][:900], u[u[:, 0] < -0.05][:700]
+    two[:300] = cover_tree.units(one[:300] - np.eye(dim)[0] * (one[:300, :1] + draw.uniform(0.01, 0.3, (300, 1))))  # across the border
+    x, y = (cover_tree.Side(cover_tree.leaf_data(np.arange(len(v)) + k, np.full(len(v), 2), v), dim) for k, v in ((0, one), (5000, two)))
+    reach = math.sqrt(0.2)
+    x.middle = x.middle + 3 * np.eye(dim)[0]  # any line will do; this one sorts
+    label = cover_tree.walk(x, y, 0.9, reach)
+    links = one[x.node] @ two[y.node - 5000].T >= 0.9
+    assert links.any() and np.array_equal(np.cumsum(x.added[:-1]), 2 * links.sum(axis=1)) and np.array_equal(np.cumsum(y.added[:-1]), 2 * links.sum(axis=0))
+    want = np.arange(len(label))
+    cover_tree.united(want, *(np.nonzero(links) + np.array([[0], [len(one)]])))
+    assert np.array_equal(label[label], label) and len(set(zip(label.tolist(), want.tolist(), strict=True))) == len(set(want.tolist())) == len(set(label.tolist()))
+
+
+def test_the_place_of_a_vector_does_not_depend_on_others():
+    """Equally near centres are told apart the same way in every pass."""
+    u = cover_tree.units(np.array([v for v in np.ndindex(3, 3, 3, 3, 3) if v != (1, 1, 1, 1, 1)]) - 1.0)
+    node = np.arange(len(u))
+    splits = {"5": (np.concatenate([np.eye(5), -np.eye(5)]), 10), "5.3": (np.eye(5)[:1], 3), "5.4": (cover_tree.units(np.ones((2, 5)) * [[1], [-1]]), 2)}
+    place = lambda at: {int(node[at][k]): path for path, some, _ in cover_tree.placed(u[at], node[at], splits) for k in some}
+    whole = place(node)
+    assert len(whole) == len(u) and len(set(whole.values())) > 10
+    for cut in (np.random.default_rng(1).permutation(node), node[::7], node[5:6]):
+        assert place(cut).items() <= whole.items()
+
+
+def test_thinned_links_lead_as_far():
+    draw = np.random.default_rng(4)
+    for links in (np.ones((40, 90), bool), draw.random((60, 50)) < 0.02, np.kron(np.eye(3, dtype=bool), np.ones((30, 40), bool)), np.zeros((3, 4), bool)):
+        row, column = cover_tree.thinned(links)
+        assert links[row, column].all() and len(row) <= 8 * sum(links.shape)
+        both = [np.arange(sum(links.shape)), np.arange(sum(links.shape))]
+        for label, (r, c) in zip(both, ((row, column), np.nonzero(links)), strict=True):
+            cover_tree.united(label, r, c + len(links))
+        assert np.array_equal(*both)
+
+
+def test_leaves_grow_with_the_input_beyond_their_number():
+    assert cover_tree.leaf_rows("64", 4, 1 << 30) == 4096
+    assert cover_tree.leaf_rows("64.1.2", 4, 1 << 40) == (1 << 26) // 256
+    assert cover_tree.leaf_rows("5000000", 4, 1 << 30) == 64
