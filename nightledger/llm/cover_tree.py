@@ -1,20 +1,22 @@
 """Exact near-duplicate vectors by a dual traversal of cover trees.
 
 Two vectors link when their cosine reaches the threshold, that is when their unit vectors lie within ``reach``. Vectors are put in
-a tree of balls: a node has a centre and a covering radius, its children have centres that lie apart by a level's radius, the
-first of them its own, and the radii of levels halve. Two nodes whose centres are further apart than ``reach`` and both
-covering radii hold no link, two nodes whose centres and radii together stay below it hold nothing else; only other
-pairs of nodes are taken apart further.
+a tree of balls: a node has a centre and a covering radius, its children have centres that lie apart by a level's radius, and
+the radii of levels halve. Two nodes whose centres are further apart than ``reach`` and both covering radii hold no link, two
+nodes whose centres and radii together stay below it hold nothing else; only other pairs of nodes are taken apart further.
 
 The upper levels are made by Spark: as long as a node holds more than a leaf may, some of its vectors, chosen by hash (a few times
-``FAN`` of them), give the centres of the next level at which they come apart, and all its vectors go to the nearest. Radii are
-measured over all vectors, so whatever the sample is, no link is lost; where distance doesn't take a node apart, its
-vectors are dealt out by hash under the same centre. The centres made so far go to all tasks, at most some 10,000 of them as
-leaves grow with the input beyond ``LEAVES``, and each pass walks the vectors down from the root: no level moves or writes them. The
-place of a vector depends on itself and the centres alone (``GRID``), so passes agree. The tree is then walked in pairs of nodes
-by joins. A pair of leaves that links as a whole is settled by two sums; the other pairs meet in tasks, where each leaf has a
-tree of its own down to single vectors and the same walk goes on. Vectors without structure, which lie apart like random ones
-in many dimensions, are not told apart by any radius before that: their leaves meet in all pairs, and of each pair of leaves the vectors that come close along the line between their middles.
+``FAN`` of them), give the centres of the next level at which they come apart, and all its vectors go to the nearest. Its own
+centre isn't one of them: without structure nearly all vectors would stay with it, level after level. Radii are measured over all
+vectors, so whatever the sample is, no link is lost; where distance doesn't take a node apart, its vectors are dealt out by hash
+under the same centre. The centres made so far go to all tasks (beyond ``LEAVES`` leaves grow with the input, not their number),
+and each pass walks the vectors down from the root: no level moves or writes them. The place of a vector depends on itself and
+the centres alone (``GRID``), so passes agree.
+
+The tree is then walked in pairs of nodes by joins. A pair of leaves that links as a whole is settled by two sums; the other pairs
+meet in tasks, where each leaf has a tree of its own down to single vectors and the same walk goes on. Vectors without structure,
+which lie apart like random ones in many dimensions, are not told apart by any radius before that: their leaves meet in all
+pairs, and of each pair of leaves the vectors that come close along the line between their middles.
 
 Vectors are moved twice, once to find equal ones and once to their leaves. Neighbouring leaves share a file, a block, in the
 shared folder; a task reads the two files of a pair of blocks and walks all pairs of leaves between them, so pairs move no vectors.
@@ -447,13 +449,12 @@ def _split(nodes: DataFrame, large: dict[str, tuple], splits: dict, turn: int) -
 
     def chosen(table: pa.Table) -> pa.Table:
         path = table["leaf"][0].as_py()
-        u = _of(table.sort_by("draw"), "v", _length(path))
-        centre = tree.value[1][path][2]
-        u = np.concatenate([centre[None], u]) if centre.any() else u
+        u, centre = _of(table.sort_by("draw"), "v", _length(path)), tree.value[1][path][2]
         size, picked = 2.0, np.zeros(1, np.int64)
         while len(picked) < 2 and size > SLACK and turn < ROUNDS:
             size /= 2
             picked = net(u, size, fan[path])[0]
+        u, picked = (centre[None], picked[:1]) if len(picked) < 2 and centre.any() else (u, picked)
         return pa.table({"leaf": pa.array([path]), "centres": pa.array([u[picked].ravel().tolist()], pa.list_(pa.float64()))})
 
     some = nodes.select("node", "v", draw).where(F.col("draw") < F.lit(int(min(1, most) * (1 << 30)) + 1))
